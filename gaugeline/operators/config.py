@@ -116,10 +116,13 @@ def connection_predicate(config: DataFrame) -> DataFrame:
         "other_metadata",
         "ean string, key string, building_uuid string, filter_clause string, "
         "timestamp_col string, processing_timestamp_col string",
-    )
+    ).alias("_meta")
+    # As a generator the JSON is parsed once per connection, and later filters on what is
+    # in it stay above, instead of being parsed again for every row the config comes from.
+    parsed = config.select("*", F.inline(F.array(F.struct(meta))))
 
     def attr(name: str) -> Column:
-        return F.nullif(meta[name], F.lit(""))
+        return F.nullif(F.col("_meta")[name], F.lit(""))
 
     ean, key, building, clause = (attr(n) for n in ("ean", "key", "building_uuid", "filter_clause"))
     equality = r"^\s*(\w+)\s*=\s*'([^']*)'\s*$"
@@ -139,12 +142,12 @@ def connection_predicate(config: DataFrame) -> DataFrame:
         .when(column.isNotNull(), F.regexp_extract(clause, equality, 2))
         .otherwise("")
     )
-    return config.withColumns({
+    return parsed.withColumns({
         "match_on": match_on,
         "match_key": match_key,
-        "ts_col": F.coalesce(meta["timestamp_col"], F.lit(DEFAULT_TS)),
-        "processing_ts_col": F.coalesce(meta["processing_timestamp_col"], F.lit(DEFAULT_PROCESSING_TS)),
-    })
+        "ts_col": F.coalesce(F.col("_meta.timestamp_col"), F.lit(DEFAULT_TS)),
+        "processing_ts_col": F.coalesce(F.col("_meta.processing_timestamp_col"), F.lit(DEFAULT_PROCESSING_TS)),
+    }).drop("_meta")
 
 
 @dataclass(frozen=True)

@@ -50,7 +50,7 @@ def _finish(points: DataFrame, period: Column, expected: Column, delay_scale: in
     """Hour rows of the published struct from summed points."""
 
     def delay(c: Column) -> Column:
-        return c if delay_scale is None else F.bround(c, delay_scale)
+        return c if delay_scale is None else F.bround(F.round(c, 9), delay_scale)
 
     interval = F.col("expected_interval_minutes")
     total = (
@@ -210,17 +210,23 @@ def collect_hourly(hours: DataFrame) -> DataFrame:
     return hours.groupBy("connection_id").agg(F.array_sort(F.collect_list(entry)).alias("hourly_metrics"))
 
 
+def _mean(col: str) -> Column:
+    """A mean freed of the noise that the order of a distributed sum leaves in its last digits,
+    which would otherwise decide how halves are rounded and thresholds crossed."""
+    return F.round(F.avg(col), 9)
+
+
 def summary_columns() -> list[Column]:
     """Aggregates over the hour rows of a connection: sums, and means of the hourly values."""
     return [
         F.sum("data_points").cast("int").alias("data_points_24h"),
-        F.bround(F.avg("completeness_pct"), 1).alias("completeness_pct"),
-        F.bround(F.avg("uptime_pct"), 1).alias("uptime_pct_24h"),
-        F.bround(F.avg("avg_delay_minutes"), 1).alias("avg_delay_minutes"),
+        F.bround(_mean("completeness_pct"), 1).alias("completeness_pct"),
+        F.bround(_mean("uptime_pct"), 1).alias("uptime_pct_24h"),
+        F.bround(_mean("avg_delay_minutes"), 1).alias("avg_delay_minutes"),
         F.sum("total_validation_errors").cast("int").alias("total_validation_errors"),
         F.sum("duplicate_timestamps").cast("int").alias("duplicate_timestamps_24h"),
         F.sum("null_values").cast("int").alias("null_values_24h"),
-        F.avg("completeness_pct").alias("mean_completeness"),
+        _mean("completeness_pct").alias("mean_completeness"),
     ]
 
 

@@ -69,13 +69,16 @@ def counter_delta(
     carry_over_nulls: bool = False,
     max_gap_seconds: int | None = None,
     slice_seconds: int = 3600,
+    seed: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Interval value of a cumulative counter: the rise since the previous reading.
 
     First readings and falls (a reset or a new meter) give NULL. With ``tie_break``
     repeated timestamps are reduced to the first row in that order. A NULL reading makes
     the next interval NULL too, unless ``carry_over_nulls`` compares with the last known
-    value. A silence longer than ``max_gap_seconds`` gives NULL.
+    value. A silence longer than ``max_gap_seconds`` gives NULL. ``seed`` names two columns
+    (value, time) with the reading before the first row of the key, for data that continues
+    an earlier run.
     """
     rows = latest_per_snapshot(df, [*keys, ts], tie_break) if tie_break else df
     series = list(keys)
@@ -85,8 +88,12 @@ def counter_delta(
         rows = rows.withColumn("_known", F.col(counter).isNotNull())
         series.append("_known")
     rows = lag_columns(rows, series, ts, {counter: "_prev", ts: "_prev_ts"}, slice_seconds)
-    rise = F.when(F.col(counter) >= F.col("_prev"), F.col(counter) - F.col("_prev"))
+    before, since = F.col("_prev"), F.col("_prev_ts")
+    if seed:
+        before = F.when(since.isNull(), F.col(seed[0])).otherwise(before)
+        since = F.coalesce(since, F.col(seed[1]))
+    rise = F.when(F.col(counter) >= before, F.col(counter) - before)
     if max_gap_seconds is not None:
-        silence = F.unix_timestamp(ts) - F.unix_timestamp("_prev_ts")
+        silence = F.unix_timestamp(ts) - F.unix_timestamp(since)
         rise = F.when(silence <= max_gap_seconds, rise)
     return rows.withColumn(out, rise).drop("_prev", "_prev_ts", "_known")

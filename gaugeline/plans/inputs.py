@@ -27,6 +27,7 @@ TABLES = {
 }
 
 AS_OF = "2024-01-20 12:00:00"
+CHECKED_AT = "2024-01-31 12:00:00"  # after the last event
 CREATED = "2024-01-01 00:00:00"
 FACTS = "facts.readings"
 
@@ -85,8 +86,12 @@ def refetched(once: DataFrame) -> DataFrame:
 
 
 def long_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_long(table(spark, sf_dir, "events"))
+
+
+def as_long(events: DataFrame) -> DataFrame:
     """Events as long meter rows: a category per row, several rows per hour."""
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("user_id").cast("int").alias("account_id"),
         F.date_trunc("hour", "ts").alias("timestamp"),
         F.col("event_type").alias("category"),

@@ -18,6 +18,7 @@ from ..session import work_dir
 from ..sources import envelopes, merge, tables
 from ..streaming.delta import stream_counter_delta
 from ..streaming.health import newest, stream_health
+from ..streaming.incremental import incremental_counter_delta, incremental_pivot
 from ..streaming.pivot import stream_pivot
 from ..streaming.state import read_split, write_with_late
 from . import inputs as I
@@ -130,6 +131,28 @@ def counter_delta_stream(spark, sf_dir):
     return read_split(spark, f"{out}/table", deltas.schema)
 
 
+@query(f"""
+WITH {BRONZE_SQL}
+SELECT gateway_id, object_id, ts AS "timestamp", v AS energy_cumulative,
+       CASE WHEN v >= lag(v) OVER w AND floor(epoch(ts)) - floor(epoch(lag(ts) OVER w)) <= 691200
+            THEN v - lag(v) OVER w END AS "interval"
+FROM bronze WINDOW w AS (PARTITION BY gateway_id, object_id ORDER BY ts)
+""")
+def counter_delta_incremental(spark, sf_dir):
+    """The same as set-based micro-batches with a state table."""
+    stream = _event_stream(spark, sf_dir).select(
+        F.col("event_type").alias("gateway_id"), F.col("user_id").cast("int").alias("object_id"),
+        F.col("ts").alias("timestamp"), I.known_value().alias("energy_cumulative"),
+    )
+    out = work_dir(spark, "increment")
+    incremental_counter_delta(
+        stream, ["gateway_id", "object_id"], "timestamp", "energy_cumulative",
+        f"{out}/table", f"{out}/state", f"{out}/checkpoint",
+    )
+    schema = stream.schema.add("interval", "double")
+    return read_split(spark, f"{out}/table", schema)
+
+
 @query("""
 SELECT sha256(concat_ws('|', event_type, user_id)) AS sk, ts, CAST(ts AS DATE) AS event_date,
        event_type, user_id, round(value, 2) AS value
@@ -202,18 +225,14 @@ def pivot_wide(spark, sf_dir):
     )
 
 
+def _long_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.as_long(_event_stream(spark, sf_dir))
+
+
 @query(f"WITH {LONG_SQL} SELECT * FROM wide")
 def pivot_wide_stream(spark, sf_dir):
-    stream = _event_stream(spark, sf_dir).select(
-        F.col("user_id").cast("int").alias("account_id"),
-        F.date_trunc("hour", "ts").alias("timestamp"),
-        F.col("event_type").alias("category"),
-        I.known_value().alias("value"),
-        F.when(I.level() >= 90, F.col("props")).alias("drift"),
-        "event_id",
-    )
     wide = stream_pivot(
-        stream, ["account_id"], "timestamp", "category", "value", I.CATEGORIES,
+        _long_stream(spark, sf_dir), ["account_id"], "timestamp", "category", "value", I.CATEGORIES,
         tie_break=[("event_id", "asc")], drift="drift",
     )
     out = work_dir(spark, "pivot")
@@ -221,6 +240,20 @@ def pivot_wide_stream(spark, sf_dir):
     return read_split(spark, f"{out}/table", wide.schema)
 
 
+@query(f"WITH {LONG_SQL} SELECT * FROM wide")
+def pivot_wide_incremental(spark, sf_dir):
+    """The same as set-based micro-batches with a state table."""
+    out = work_dir(spark, "pivoting")
+    stream = _long_stream(spark, sf_dir)
+    incremental_pivot(
+        stream, ["account_id"], "timestamp", "category", "value", I.CATEGORIES, ["event_id"],
+        f"{out}/table", f"{out}/state", f"{out}/checkpoint", drift="drift",
+    )
+    schema = struct("account_id int, timestamp timestamp, energy_production double, energy_export double, "
+                    "energy_import double, drift string")
+    return read_split(spark, f"{out}/table", schema)
+
+
 @query(f"""
 WITH {LONG_SQL}
 SELECT 'EConnection' AS asset_class, sha256(concat_ws('|', account_id, 'EConnection')) AS sk, "timestamp",
@@ -790,22 +823,24 @@ CONFIG_SQL = """
     )
 """
 
-WINDOW_START, WINDOW_END = "2024-01-18 23:00:00", "2024-01-19 23:00:00"
+WINDOW_START, WINDOW_END = DAY = "2024-01-18 23:00:00", "2024-01-19 23:00:00"
+CHECK_DAY = "2024-01-29 23:00:00", "2024-01-30 23:00:00"
 
 
-def hours_sql(rows: str) -> str:
+def hours_sql(rows: str, window: tuple[str, str] = DAY) -> str:
     """Hour rows over ``rows`` (user_id, ts, proc) in the day window."""
+    start, end = window
     return f"""
     facts AS ({rows}),
     hours AS (
         SELECT c.connection_id, c.iv,
-               CASE WHEN c.iv >= 1440 THEN TIMESTAMP '{WINDOW_START}' ELSE date_trunc('hour', f.ts)::TIMESTAMP END AS hour,
+               CASE WHEN c.iv >= 1440 THEN TIMESTAMP '{start}' ELSE date_trunc('hour', f.ts)::TIMESTAMP END AS hour,
                count(*) AS points, count(DISTINCT f.ts) AS uniq,
                CASE WHEN c.iv >= 1440 THEN 1 ELSE 60 // c.iv END AS expected,
                avg((floor(epoch(f.proc)) - floor(epoch(f.ts))) / 60.0) AS avg_delay,
                max((floor(epoch(f.proc)) - floor(epoch(f.ts))) / 60.0) AS max_delay
         FROM facts f JOIN cfg c USING (user_id)
-        WHERE f.ts >= TIMESTAMP '{WINDOW_START}' AND f.ts < TIMESTAMP '{WINDOW_END}'
+        WHERE f.ts >= TIMESTAMP '{start}' AND f.ts < TIMESTAMP '{end}'
         GROUP BY ALL
     ),
     pct AS (SELECT *, least(100.0, round_even(points / expected * 100, 2)) AS completeness FROM hours)
@@ -895,8 +930,8 @@ WITH {CONFIG_SQL},
 {PROC_HOURS_SQL.format(start="TIMESTAMP '2024-01-19 12:00:00'", end="TIMESTAMP '2024-01-20 12:00:00'")}
 SELECT connection_id, hour, CAST(points AS INTEGER) AS data_points, CAST(expected AS INTEGER) AS expected_records,
        CAST(completeness AS DOUBLE) AS completeness_pct, CAST(points - uniq AS INTEGER) AS duplicate_timestamps,
-       CAST(nulls AS INTEGER) AS null_values, round_even(avg_delay, 2) AS avg_delay_minutes,
-       round_even(max_delay, 2) AS max_delay_minutes, 100.0::DOUBLE AS uptime_pct,
+       CAST(nulls AS INTEGER) AS null_values, round_even(round(avg_delay, 9), 2) AS avg_delay_minutes,
+       round_even(round(max_delay, 9), 2) AS max_delay_minutes, 100.0::DOUBLE AS uptime_pct,
        CAST(points - uniq + nulls AS INTEGER) AS total_validation_errors
 FROM pct
 """)
@@ -921,12 +956,14 @@ def null_count(spark, sf_dir):
     return rollup.null_count(events, ["user_id"], ["value", "not_there"])
 
 
-GAPS_SQL = f"""
+def gaps_sql(window: tuple[str, str] = DAY) -> str:
+    start, end = window
+    return f"""
     anchored AS (
         SELECT user_id, ts FROM events
-        WHERE ts >= TIMESTAMP '{WINDOW_START}' AND ts < TIMESTAMP '{WINDOW_END}'
-        UNION SELECT user_id, TIMESTAMP '{WINDOW_START}' FROM cfg
-        UNION SELECT user_id, TIMESTAMP '{WINDOW_END}' FROM cfg
+        WHERE ts >= TIMESTAMP '{start}' AND ts < TIMESTAMP '{end}'
+        UNION SELECT user_id, TIMESTAMP '{start}' FROM cfg
+        UNION SELECT user_id, TIMESTAMP '{end}' FROM cfg
     ),
     spaced AS (
         SELECT c.connection_id, c.iv, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev
@@ -942,14 +979,14 @@ GAPS_SQL = f"""
 """
 
 
-@query(f"WITH {CONFIG_SQL}, {GAPS_SQL} SELECT * FROM gaps")
+@query(f"WITH {CONFIG_SQL}, {gaps_sql()} SELECT * FROM gaps")
 def detect_gaps(spark, sf_dir):
     source, config = _health_inputs(spark, sf_dir)
     return gaps.detect_gaps(source, config, I.AS_OF)
 
 
 @query(f"""
-WITH {CONFIG_SQL}, {GAPS_SQL}
+WITH {CONFIG_SQL}, {gaps_sql()}
 SELECT connection_id, CAST(count(*) OVER (PARTITION BY connection_id) AS INTEGER) AS data_gap_count,
        CAST(row_number() OVER (PARTITION BY connection_id ORDER BY gap_start) - 1 AS INTEGER) AS pos,
        gap_start, gap_end, gap_duration_minutes, missing_records
@@ -966,10 +1003,10 @@ def gap_summary(spark, sf_dir):
 SUMMARY_SQL = """
     summary AS (
         SELECT connection_id, CAST(sum(points) AS INTEGER) AS data_points_24h,
-               CAST(round_even(avg(completeness), 1) AS DOUBLE) AS completeness_pct,
-               100.0::DOUBLE AS uptime_pct_24h, round_even(avg(avg_delay), 1) AS avg_delay_minutes,
+               CAST(round_even(round(avg(completeness), 9), 1) AS DOUBLE) AS completeness_pct,
+               100.0::DOUBLE AS uptime_pct_24h, round_even(round(avg(avg_delay), 9), 1) AS avg_delay_minutes,
                CAST(sum(points - uniq) AS INTEGER) AS duplicate_timestamps_24h,
-               avg(completeness) AS mean_completeness
+               round(avg(completeness), 9) AS mean_completeness
         FROM pct GROUP BY connection_id
     )
 """
@@ -991,24 +1028,25 @@ STATUS_SQL = f"""
     gap_counts AS (SELECT connection_id, CAST(count(*) AS INTEGER) AS n FROM gaps GROUP BY connection_id),
     status AS (
         SELECT c.connection_id, 'User ' || c.user_id AS data_name,
-               CASE WHEN (epoch_us(TIMESTAMP '{I.AS_OF}') - epoch_us(last_ts)) / 60e6 > 5760 THEN 'OFFLINE'
-                    WHEN (epoch_us(TIMESTAMP '{I.AS_OF}') - epoch_us(last_ts)) / 60e6 > 1440 THEN 'DELAYED'
+               CASE WHEN (epoch_us(TIMESTAMP '{I.CHECKED_AT}') - epoch_us(last_ts)) / 60e6 > 5760 THEN 'OFFLINE'
+                    WHEN (epoch_us(TIMESTAMP '{I.CHECKED_AT}') - epoch_us(last_ts)) / 60e6 > 1440 THEN 'DELAYED'
                     WHEN mean_completeness < 80 THEN 'DELAYED' ELSE 'ACTIVE' END AS status,
                last_ts AS last_sync_timestamp, 'run-1' AS job_run_id, 'SUCCESS' AS job_state, data_points_24h,
                completeness_pct, uptime_pct_24h, avg_delay_minutes, duplicate_timestamps_24h,
-               coalesce(g.n, 0) AS data_gap_count, TIMESTAMP '{I.AS_OF}' AS checked_at
+               coalesce(g.n, 0) AS data_gap_count, TIMESTAMP '{I.CHECKED_AT}' AS checked_at
         FROM cfg c LEFT JOIN summary s USING (connection_id) LEFT JOIN latest l USING (connection_id)
         LEFT JOIN gap_counts g USING (connection_id)
     )
 """
 
-STATUS_WITH = f"WITH {CONFIG_SQL}, {hours_sql(ONCE_SQL)}, {SUMMARY_SQL}, {GAPS_SQL}, {STATUS_SQL}"
+STATUS_WITH = (
+    f"WITH {CONFIG_SQL}, {hours_sql(ONCE_SQL, CHECK_DAY)}, {SUMMARY_SQL}, {gaps_sql(CHECK_DAY)}, {STATUS_SQL}"
+)
 
 
 def _snapshot(spark, sf_dir) -> DataFrame:
-    """Status over the facts known at the time of the check."""
-    known = I.facts(spark, sf_dir)
-    return status.status_snapshot(I.connections(spark, sf_dir), I.source(known), I.AS_OF, "run-1")
+    source = I.source(I.facts(spark, sf_dir))
+    return status.status_snapshot(I.connections(spark, sf_dir), source, I.CHECKED_AT, "run-1")
 
 
 @query(f"{STATUS_WITH} SELECT * FROM status")
@@ -1145,7 +1183,7 @@ def local_days(spark, sf_dir):
 WITH {CONFIG_SQL}, bound AS (SELECT max({PROC}) + INTERVAL 1 SECOND AS now FROM events),
 {PROC_HOURS_SQL.format(
     start="(SELECT date_trunc('hour', now - INTERVAL 1 DAY) FROM bound)", end="(SELECT now FROM bound)")},
-mean AS (SELECT connection_id, avg(completeness) AS m, sum(points) AS points, sum(nulls) AS nulls
+mean AS (SELECT connection_id, round(avg(completeness), 9) AS m, sum(points) AS points, sum(nulls) AS nulls
          FROM pct GROUP BY connection_id),
 latest AS (SELECT 'sensor_' || user_id AS connection_id, max({PROC}) AS last_ts FROM events GROUP BY user_id)
 SELECT connection_id, last_ts AS last_sync_timestamp,

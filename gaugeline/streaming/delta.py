@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,22 +48,21 @@ def stream_counter_delta(
             return
         value, newest = state.get if state.exists else (None, None)
         rows = ordered_group(frames, ts, tie_break)
-        late = rows[ts] <= pd.Timestamp(newest) if newest is not None else pd.Series(False, index=rows.index)
-        fresh = rows[~late].drop_duplicates(ts)
-        known = fresh[counter].astype("float64")
-        before, since = known.shift(), fresh[ts].shift()
-        if newest is not None and len(fresh):
-            before.iloc[0], since.iloc[0] = value, pd.Timestamp(newest)
-        rises = known >= before
+        times, values = rows[ts].to_numpy(), rows[counter].to_numpy(dtype="float64", na_value=np.nan)
+        seen = np.datetime64("NaT") if newest is None else np.datetime64(newest)
+        late = times <= seen
+        fresh = ~late & np.r_[True, times[1:] != times[:-1]]
+        now, level = times[fresh], values[fresh]
+        since = np.r_[[seen.astype(times.dtype)], now][:-1]
+        before = np.r_[[np.nan if value is None else value], level][:-1]
+        rises = level >= before
         if limit is not None:
-            rises &= (fresh[ts] - since) <= limit
-        fresh = fresh.assign(**{out: (known - before).where(rises), "is_late": False})
-        yield fresh[result.names]
-        if late.any():
-            yield rows[late].assign(**{out: float("nan"), "is_late": True})[result.names]
-        if len(fresh):
-            last = known.iloc[-1]
-            value, newest = (None if pd.isna(last) else float(last)), fresh[ts].iloc[-1].to_pydatetime()
+            rises &= (now - since) <= limit.to_timedelta64()
+        intervals = np.full(len(rows), np.nan)
+        intervals[fresh] = np.where(rises, level - before, np.nan)
+        yield rows.assign(**{out: intervals, "is_late": late})[fresh | late][result.names]
+        if len(now):
+            value, newest = (None if np.isnan(level[-1]) else float(level[-1])), pd.Timestamp(now[-1]).to_pydatetime()
             state.update((value, newest))
         if newest is not None:
             keep_until(state, pd.Timestamp(newest), horizon)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,15 +48,25 @@ def stream_pivot(
     ])
     horizon = pd.Timedelta(watermark)
 
+    def first_at(rows: pd.DataFrame, col: str, mask: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The first value of ``col`` among the masked rows for each of the times ``at``."""
+        times, first = np.unique(rows[ts].to_numpy()[mask], return_index=True)
+        found = np.isin(times, at)
+        values = rows[col].to_numpy()[mask][first[found]]
+        filled = np.full(len(at), None if values.dtype == object else np.nan, dtype=values.dtype)
+        filled[np.searchsorted(at, times[found])] = values
+        return filled
+
     def widen(rows: pd.DataFrame) -> pd.DataFrame:
-        """First non-null value per time and category, then per time the first drift."""
-        known = rows.dropna(subset=[value]).drop_duplicates([ts, category])
-        wide = known.set_index([ts, category])[value].unstack(category).rename(columns=mapping)
-        wide = wide.reindex(columns=columns)
+        """First non-null value per time and category, and the first drift per time."""
+        codes, known = rows[category].to_numpy(), rows[value].notna().to_numpy()
+        at = np.unique(rows[ts].to_numpy()[known])
+        wide = {ts: at}
+        for code, name in mapping.items():
+            wide[name] = first_at(rows, value, known & (codes == code), at)
         if drift:
-            noted = rows.dropna(subset=[drift]).drop_duplicates(ts).set_index(ts)[drift]
-            wide[drift] = noted.reindex(wide.index)
-        return wide.reset_index()
+            wide[drift] = first_at(rows, drift, rows[drift].notna().to_numpy(), at)
+        return pd.DataFrame(wide)
 
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -63,7 +74,7 @@ def stream_pivot(
             return
         (newest,) = state.get if state.exists else (None,)
         rows = ordered_group(frames, ts, tie_break)
-        late = rows[ts] <= pd.Timestamp(newest) if newest is not None else pd.Series(False, index=rows.index)
+        late = rows[ts].to_numpy() <= (np.datetime64("NaT") if newest is None else np.datetime64(newest))
         for flag in (False, True):
             part = rows[late == flag]
             if part.empty:

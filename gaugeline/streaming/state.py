@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
@@ -18,12 +19,15 @@ def ordered_group(frames: Iterator[pd.DataFrame], ts: str, tie_break: Order = ()
 
     Spark hands a large key over in several Arrow batches in no particular order. Ordering
     each on its own would take early rows of a later batch for late data. The size is
-    bounded by the micro-batch limits of the source.
+    bounded by the micro-batch limits of the source; for larger ones, and for keys that
+    dominate them, use the set-based runs in ``incremental``.
     """
-    rows = pd.concat(list(frames), ignore_index=True)
-    by = [ts, *[c for c, _ in tie_break]]
-    up = [True, *[d == "asc" for _, d in tie_break]]
-    return rows.sort_values(by, ascending=up, kind="stable", ignore_index=True)
+    parts = list(frames)
+    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    if tie_break:
+        by = [ts, *[c for c, _ in tie_break]]
+        return rows.sort_values(by, ascending=[True, *[d == "asc" for _, d in tie_break]], kind="stable")
+    return rows.take(np.argsort(rows[ts].to_numpy(), kind="stable"))
 
 
 def keep_until(state, newest: pd.Timestamp, horizon: pd.Timedelta) -> None:
