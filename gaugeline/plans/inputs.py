@@ -61,7 +61,7 @@ def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("int").alias("object_id"),
         F.col("value").alias("currentTrms"),
         (F.col("value") * 2).alias("currentAc"),
-        (-F.col("value")).alias("currentDc"),
+        (F.col("value") * 3).alias("currentDc"),
         (F.col("value") * 10).alias("activePowerTotal"),
         known_value().alias("activeEnergyTotal"),
         F.col("event_type").alias("gateway_id"),

@@ -62,7 +62,7 @@ silver AS (
 )
 SELECT sha256(concat_ws('|', gateway_id, object_id)) AS sk, ts AS "timestamp", CAST(ts AS DATE) AS event_date,
        gateway_id, object_id, round(value, 2) AS current_rms, round(value * 2, 2) AS "current",
-       round(-value, 2) AS dc_current, round(value * 10, 2) AS power, round(v, 2) AS energy_cumulative,
+       round(value * 3, 2) AS dc_current, round(value * 10, 2) AS power, round(v, 2) AS energy_cumulative,
        round(CASE WHEN v >= pv AND floor(epoch(ts)) - floor(epoch(pts)) <= 691200 THEN v - pv END, 2)
            AS energy_interval
 FROM silver
@@ -930,8 +930,8 @@ WITH {CONFIG_SQL},
 {PROC_HOURS_SQL.format(start="TIMESTAMP '2024-01-19 12:00:00'", end="TIMESTAMP '2024-01-20 12:00:00'")}
 SELECT connection_id, hour, CAST(points AS INTEGER) AS data_points, CAST(expected AS INTEGER) AS expected_records,
        CAST(completeness AS DOUBLE) AS completeness_pct, CAST(points - uniq AS INTEGER) AS duplicate_timestamps,
-       CAST(nulls AS INTEGER) AS null_values, round_even(round(avg_delay, 9), 2) AS avg_delay_minutes,
-       round_even(round(max_delay, 9), 2) AS max_delay_minutes, 100.0::DOUBLE AS uptime_pct,
+       CAST(nulls AS INTEGER) AS null_values, CAST(round_even(CAST(avg_delay AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_delay_minutes,
+       CAST(round_even(CAST(max_delay AS DECIMAL(18, 9)), 2) AS DOUBLE) AS max_delay_minutes, 100.0::DOUBLE AS uptime_pct,
        CAST(points - uniq + nulls AS INTEGER) AS total_validation_errors
 FROM pct
 """)
@@ -1003,8 +1003,8 @@ def gap_summary(spark, sf_dir):
 SUMMARY_SQL = """
     summary AS (
         SELECT connection_id, CAST(sum(points) AS INTEGER) AS data_points_24h,
-               CAST(round_even(round(avg(completeness), 9), 1) AS DOUBLE) AS completeness_pct,
-               100.0::DOUBLE AS uptime_pct_24h, round_even(round(avg(avg_delay), 9), 1) AS avg_delay_minutes,
+               CAST(round_even(CAST(avg(completeness) AS DECIMAL(18, 9)), 1) AS DOUBLE) AS completeness_pct,
+               100.0::DOUBLE AS uptime_pct_24h, CAST(round_even(CAST(avg(avg_delay) AS DECIMAL(18, 9)), 1) AS DOUBLE) AS avg_delay_minutes,
                CAST(sum(points - uniq) AS INTEGER) AS duplicate_timestamps_24h,
                round(avg(completeness), 9) AS mean_completeness
         FROM pct GROUP BY connection_id
