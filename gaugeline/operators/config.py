@@ -188,10 +188,17 @@ def match_connections(
     Aggregating first keeps a hot key away from the join: it meets the configuration
     as a handful of rows. Spark broadcasts the smaller side only if its size allows.
     """
-    parts: list[Column] = []
-    for k in keys:
-        parts += [F.lit(PART), F.col(k).cast("string")]
-    keyed = aggregated.withColumn("match_key", F.concat(*parts[1:]) if parts else F.lit("")).drop(*keys)
+    if keys:
+        parts: list[Column] = []
+        for k in keys:
+            parts += [F.lit(PART), F.col(k).cast("string")]
+        key = F.concat(*parts[1:])
+    else:
+        # A table without rows has nothing to match. The aggregate of a whole table is one
+        # row per period; tied to one of its columns, the key stays an equality join.
+        present = next(f.name for f in aggregated.schema.fields if f.nullable)
+        key = F.when(F.col(present).isNotNull(), "")
+    keyed = aggregated.withColumn("match_key", key).drop(*keys)
     mine = config.filter(
         (F.col("gold_table_name") == source.table)
         & (F.col("match_on") == match_on)

@@ -26,6 +26,16 @@ def _of(rules: Sequence[Rule], action: str) -> list[Rule]:
     return [r for r in rules if r.action == action]
 
 
+def holds_or_stop(condition: Column, message: str) -> Column:
+    """A filter that never drops a row but stops the job where ``condition`` does not hold.
+
+    Naming the partition in the message also makes it non-deterministic, which keeps the
+    optimizer from moving it: it sees exactly the rows that come out of the steps before it.
+    """
+    where = F.concat(F.lit(f"{message} (partition "), F.spark_partition_id().cast("string"), F.lit(")"))
+    return F.when(condition, True).otherwise(F.raise_error(where).cast("boolean"))
+
+
 def expect_warn(df: DataFrame, rules: Sequence[Rule], observation: Observation | None = None) -> DataFrame:
     """Keep every row; count the broken rules while the rows pass by, in the same job."""
     if observation is None or not rules:
@@ -42,8 +52,7 @@ def expect_drop(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def expect_fail(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Stop the job at the first row that breaks a rule."""
     for rule in rules:
-        stop = F.raise_error(F.lit(f"quality rule {rule.name} broken: {rule.check}")).cast("boolean")
-        df = df.filter(F.when(rule.holds, True).otherwise(stop))
+        df = df.filter(holds_or_stop(rule.holds, f"quality rule {rule.name} broken: {rule.check}"))
     return df
 
 

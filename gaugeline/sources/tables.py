@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.health import missing_data_pct
 from ..functions.time import ts_lit, utc
+from ..operators.quality import holds_or_stop
 from ..schemas import struct
 
 
@@ -73,8 +74,7 @@ def conform(
     if extra and not allow_extra:
         raise ValueError(f"columns not in the declared table: {extra}")
     for name in required:
-        stop = F.raise_error(F.lit(f"required column {name} is NULL")).cast("boolean")
-        df = df.filter(F.when(F.col(name).isNotNull(), True).otherwise(stop))
+        df = df.filter(holds_or_stop(F.col(name).isNotNull(), f"required column {name} is NULL"))
     return df.select(*[
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name, metadata=f.metadata)
         for f in schema.fields
