@@ -56,27 +56,44 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
+def _others(raw: Column, known: Sequence[str]) -> Column:
+    """Whether an object has names that are not declared; cheap, and mostly false."""
+    return F.size(F.array_except(F.map_keys(raw), F.array(*map(F.lit, known)))) > 0
+
+
 def _unknown(raw: Column, known: Sequence[str]) -> Column:
     return F.map_filter(raw, lambda k, _: ~k.isin(*known))
 
 
-def _level(raw: Column, typed: Column, schema: StructType, prefix: str) -> list[Column]:
-    """Drift found at one struct level and below it, as maps of path to raw text."""
-    found = [F.transform_keys(_unknown(raw, schema.names), lambda k, _: F.concat(F.lit(prefix), k))]
+def _levels(schema: StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], StructType]]:
+    """The declared structs, outermost first, each with the way to it."""
+    found = [(path, schema)]
     for field in schema.fields:
-        text, value, path = raw[field.name], typed[field.name], prefix + field.name
         if isinstance(field.dataType, StructType):
-            found += _level(F.from_json(text, TEXT_MAP), value, field.dataType, path + ".")
-        else:
-            misfit = text.isNotNull() & value.isNull()
-            found.append(F.when(misfit, F.create_map(F.lit(path), text)))
-        if isinstance(field.dataType, ArrayType) and isinstance(field.dataType.elementType, StructType):
-            names = field.dataType.elementType.names
-            extras = F.filter(
-                F.transform(F.from_json(text, f"array<{TEXT_MAP}>"), lambda e: _unknown(e, names)),
-                lambda m: F.size(m) > 0,
-            )
-            found.append(F.when(F.size(extras) > 0, F.create_map(F.lit(path + "[]"), F.to_json(extras))))
+            found += _levels(field.dataType, (*path, field.name))
+    return found
+
+
+def _found_at(raw: Column, typed: Column, schema: StructType, prefix: str) -> list[Column]:
+    """What one struct does not hold, as maps of path to raw text; NULL where there is nothing."""
+    known = schema.names
+    found = [F.when(
+        _others(raw, known),
+        F.transform_keys(_unknown(raw, known), lambda k, _: F.concat(F.lit(prefix), k)),
+    )]
+    for field in schema.fields:
+        text, path, kind = raw[field.name], prefix + field.name, field.dataType
+        if isinstance(kind, StructType):
+            continue
+        found.append(F.when(text.isNotNull() & typed[field.name].isNull(), F.create_map(F.lit(path), text)))
+        if isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
+            names = kind.elementType.names
+            elements = F.from_json(text, f"array<{TEXT_MAP}>")
+            extras = F.filter(F.transform(elements, lambda e: _unknown(e, names)), lambda m: F.size(m) > 0)
+            found.append(F.when(
+                F.exists(elements, lambda e: _others(e, names)),
+                F.create_map(F.lit(path + "[]"), F.to_json(extras)),
+            ))
     return found
 
 
@@ -96,12 +113,22 @@ def with_drift_column(
     """
     schema = struct(schema) if isinstance(schema, str) else schema
     nothing = F.from_json(F.lit("{}"), TEXT_MAP)
-    parsed = text_df.withColumn("_doc", F.from_json(value, schema)).withColumn("_raw", F.from_json(value, TEXT_MAP))
-    parts = _level(F.col("_raw"), F.col("_doc"), schema, "")
-    drift = F.map_concat(*[F.coalesce(p, nothing) for p in parts])
+    parsed = text_df.withColumn("_doc", F.from_json(value, schema))
+    parts: list[Column] = []
+    levels = {}
+    for i, (path, level) in enumerate(_levels(schema)):
+        # Every object is parsed once, into a column of its own.
+        text = F.col(value) if not path else F.col(levels[path[:-1]])[path[-1]]
+        levels[path] = f"_raw_{i}"
+        parsed = parsed.withColumn(levels[path], F.from_json(text, TEXT_MAP))
+        typed = F.col(".".join(["_doc", *path]))
+        parts += _found_at(F.col(levels[path]), typed, level, "".join(f"{p}." for p in path))
+    drift = F.when(
+        F.coalesce(*parts).isNotNull(), F.map_concat(*[F.coalesce(p, nothing) for p in parts])
+    )
     if allowed:
         drift = F.map_filter(drift, lambda k, _: ~k.isin(*allowed))
-    broken = F.col(value).isNotNull() & F.col("_raw").isNull()
+    broken = F.col(value).isNotNull() & F.col("_raw_0").isNull()
     drift = F.when(broken, F.create_map(F.lit("_corrupt"), F.col(value))).otherwise(drift)
     keep = [c for c in text_df.columns if c != value]
     return (
