@@ -56,9 +56,19 @@ def rolling_window(as_of: datetime | str) -> tuple[datetime, datetime]:
     return (now - timedelta(days=1)).replace(minute=0, second=0, microsecond=0), now
 
 
-def within(ts: str, start: datetime | str, end: datetime | str) -> Column:
-    """Half-open [start, end) on the bare column, so that the scan can use it."""
-    return (F.col(ts) >= ts_lit(start)) & (F.col(ts) < ts_lit(end))
+def since(ts: str, start: datetime | str, date_col: str | None = None) -> Column:
+    """From ``start`` on; with the event date of a partitioned table also by whole folders."""
+    later = F.col(ts) >= ts_lit(start)
+    return later & (F.col(date_col) >= date_lit(start)) if date_col else later
+
+
+def within(ts: str, start: datetime | str, end: datetime | str, date_col: str | None = None) -> Column:
+    """Half-open [start, end) on the bare column, so that the scan can use it.
+
+    ``date_col`` names the UTC event date that the table is partitioned by, if it is.
+    """
+    inside = since(ts, start, date_col) & (F.col(ts) < ts_lit(end))
+    return inside & (F.col(date_col) <= date_lit(end)) if date_col else inside
 
 
 def bucket_start(ts: Column | str, minutes: int) -> Column:

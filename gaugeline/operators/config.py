@@ -155,8 +155,8 @@ class FactSource:
     """A fact table that connections refer to by name.
 
     ``key_sets`` lists the column sets that predicates may use, ``()`` for connections that
-    own the whole table; ``clauses`` lists free clauses. ``frame`` is None when the table
-    does not exist.
+    own the whole table; ``clauses`` lists free clauses. ``date_col`` is the event date that
+    the table is partitioned by. ``frame`` is None when the table does not exist.
     """
 
     table: str
@@ -165,6 +165,7 @@ class FactSource:
     processing_ts: str = DEFAULT_PROCESSING_TS
     key_sets: Sequence[Sequence[str]] = (("sk",),)
     clauses: Sequence[str] = ()
+    date_col: str | None = None
 
     @property
     def has_processing_ts(self) -> bool:

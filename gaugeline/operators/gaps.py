@@ -56,7 +56,7 @@ def detect_gaps(
     ]
     for source in sources:
         for match_on, rows, keys in source.selections():
-            clusters = _clusters(rows.filter(within(source.ts, start, end)), keys, source.ts, width)
+            clusters = _clusters(rows.filter(within(source.ts, start, end, source.date_col)), keys, source.ts, width)
             pieces.append(
                 match_connections(clusters, keys, eligible, source, match_on)
                 .select("connection_id", "expected_interval_minutes", "_first", "_last")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.health import DAILY_MINUTES, HOUR_FIELDS, completeness_pct, expected_per_hour, uptime_pct
-from ..functions.time import DEFAULT_ZONE, local_day_bounds, minutes_between, rolling_window, ts_lit, within
+from ..functions.time import DEFAULT_ZONE, local_day_bounds, minutes_between, rolling_window, since, ts_lit, within
 from .config import FactSource, match_connections
 from .rollup import any_null
 
@@ -106,7 +106,7 @@ def period_metrics(
     for source in _as_list(sources):
         for match_on, rows, keys in source.selections():
             points = _hour_points(
-                source, rows.filter(within(source.ts, start, end)), keys, source.ts,
+                source, rows.filter(within(source.ts, start, end, source.date_col)), keys, source.ts,
                 _delay(source, source.processing_ts), F.lit(False),
             )
             matched = match_connections(points, keys, usable, source, match_on)
@@ -191,13 +191,18 @@ def streaming_hourly_metrics(
 
 
 def latest_per_connection(
-    sources: FactSource | Sequence[FactSource], config: DataFrame, on_processing_ts: bool = False
+    sources: FactSource | Sequence[FactSource],
+    config: DataFrame,
+    on_processing_ts: bool = False,
+    start: datetime | str | None = None,
 ) -> DataFrame:
-    """Newest record of each connection, over the whole fact."""
+    """Newest record of each connection, over the whole fact or from ``start`` on."""
     found = []
     for source in _as_list(sources):
         for match_on, rows, keys in source.selections():
             ts = source.processing_ts if on_processing_ts else source.ts
+            if start is not None:
+                rows = rows.filter(since(ts, start, None if on_processing_ts else source.date_col))
             newest = rows.groupBy(*keys).agg(F.max(ts).alias("last_sync_timestamp"))
             matched = match_connections(newest, keys, _configured(config), source, match_on)
             found.append(matched.select("connection_id", "last_sync_timestamp"))

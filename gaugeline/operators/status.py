@@ -104,14 +104,25 @@ def status_snapshot(
     zone: str = DEFAULT_ZONE,
     delayed_days: float = 2,
     offline_days: float = 4,
+    history: DataFrame | None = None,
+    history_until: datetime | str | None = None,
 ) -> DataFrame:
-    """One status record per connection for the previous local day, as a single plan."""
+    """One status record per connection for the previous local day, as a single plan.
+
+    The newest record of a connection is looked for in the whole fact. Where that is too
+    much to read every day, give the status ``history`` and a time ``history_until`` up to
+    which its ``last_sync_timestamp`` is complete: only later facts are read then.
+    """
     sources = _as_list(sources)
     matched = connection_predicate(config)
+    latest = latest_per_connection(sources, matched, start=history_until)
+    if history is not None:
+        latest = latest.unionByName(history.select("connection_id", "last_sync_timestamp"))
+        latest = latest.groupBy("connection_id").agg(F.max("last_sync_timestamp").alias("last_sync_timestamp"))
     return _assemble(
         config, sources,
         period_metrics(sources, matched, as_of, zone),
-        latest_per_connection(sources, matched),
+        latest,
         detect_gaps(sources, matched, as_of, zone=zone),
         as_of, run_id, job_state, delayed_days, offline_days,
     )

@@ -101,7 +101,7 @@ def quarter_hour_view(fact: DataFrame, as_of: datetime | str, days: int = 2) ->
     """The last days in 15-minute buckets."""
     cols = ["sk", *KEYS, "timestamp", *MEASURES, "gold_processing_timestamp"]
     return rollup_interval(
-        recent_view(fact, "timestamp", as_of, days, cols), ["sk", *KEYS], "timestamp", 15,
+        recent_view(fact, "timestamp", as_of, days, cols, date_col="event_date"), ["sk", *KEYS], "timestamp", 15,
         mean=GAUGES, last=["energy_cumulative"], total=["energy_interval"], newest=["gold_processing_timestamp"],
     )
 

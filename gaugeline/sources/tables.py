@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.health import missing_data_pct
-from ..functions.time import ts_lit, utc
+from ..functions.time import since, utc
 from ..operators.quality import holds_or_stop
 from ..schemas import struct
 
@@ -82,10 +82,11 @@ def conform(
 
 
 def recent_view(
-    fact: DataFrame, ts_col: str, as_of: datetime | str, days: int = 2, cols: Sequence[str] | None = None
+    fact: DataFrame, ts_col: str, as_of: datetime | str, days: int = 2, cols: Sequence[str] | None = None,
+    date_col: str | None = None,
 ) -> DataFrame:
-    """Rows of the last ``days`` days before ``as_of``."""
-    recent = fact.filter(F.col(ts_col) >= ts_lit(utc(as_of) - timedelta(days=days)))
+    """Rows of the last ``days`` days before ``as_of``; ``date_col`` as in ``within``."""
+    recent = fact.filter(since(ts_col, utc(as_of) - timedelta(days=days), date_col))
     return recent.select(*cols) if cols else recent
 
 

@@ -224,3 +224,25 @@ def test_failure_status(spark, rows):
     assert [f.name for f in out.schema.fields] == [f.name for f in status.status_snapshot(
         config, source(make_facts(spark, [("x", AS_OF, 0)])), AS_OF, "r").schema.fields]
     assert status.failure_status(config, earlier, AS_OF, "r", missing_is_active=True).count() == 2
+
+
+def test_newest_record_from_history(spark):
+    facts = make_facts(spark, [("a", "2024-01-20 11:00:00", 0), ("b", "2024-01-03 00:00:00", 0)])
+    earlier = spark.sql("""SELECT 'b' AS connection_id, TIMESTAMP '2024-01-03 00:00:00 UTC' AS last_sync_timestamp
+                           UNION ALL SELECT 'b', NULL UNION ALL SELECT 'a', TIMESTAMP '2024-01-02 00:00:00 UTC'""")
+    config = by_sk(spark, ("a", 30), ("b", 30), ("c", 30))
+    whole = status.status_snapshot(config, source(facts), AS_OF, "r")
+    short = status.status_snapshot(config, source(facts), AS_OF, "r", history=earlier, history_until="2024-01-15")
+    assert sorted(whole.collect()) == sorted(short.collect())
+
+
+def test_partition_folders_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    facts = make_facts(spark, [("a", "2024-01-19 11:00:00", 0), ("a", "2024-01-03 00:00:00", 0)])
+    facts.withColumn("event_date", F.to_date("timestamp")).write.partitionBy("event_date").parquet(path)
+    stored = source(spark.read.parquet(path), date_col="event_date")
+    config = by_sk(spark, ("a", 30))
+    snap = status.status_snapshot(config, stored, AS_OF, "r")
+    assert snap.collect() == status.status_snapshot(config, source(facts), AS_OF, "r").collect()
+    plan = gaps.detect_gaps(stored, C.connection_predicate(config), AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
