@@ -31,32 +31,49 @@ def latest_inventory(dim: DataFrame, keys: Sequence[str], order: Order = (("snap
     return latest_per_snapshot(dim, keys, order)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows. There are at most count / hot_rows of them."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+
+
 def lag_columns(
-    df: DataFrame, keys: Sequence[str], ts: str, cols: dict[str, str], slice_seconds: int = 3600
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    cols: dict[str, str],
+    slice_seconds: int = 3600,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add for each ``cols`` entry the value of the previous row of the same key.
 
-    A plain ``lag`` puts the whole history of a key in one task. Here each key is cut
-    into time slices: rows are compared inside a slice, and only the first and last row
-    of each slice are compared over the whole key, at most two rows per slice however
-    many readings a key has. ``(keys, ts)`` must be unique and keys not null.
-    Both branches read the same shuffle.
+    A plain ``lag`` puts the whole history of a key in one task. Here a key is cut into time
+    slices: rows are compared inside a slice, and only the first and last row of each slice
+    are compared over the whole key, at most two rows per slice however many readings a key
+    has. Given the ``hot`` keys (see ``hot_keys``, whose bound on their number is what allows
+    the broadcast) only those are cut, the others stay in one piece each; without, all are.
+    ``(keys, ts)`` must be unique and keys not null. Both branches read the same shuffle.
     """
-    sliced = df.withColumn("_slice", F.floor(F.unix_timestamp(ts) / slice_seconds))
+    cut = F.floor(F.unix_timestamp(ts) / slice_seconds)
+    if hot is None:
+        sliced, is_cut = df.withColumn("_slice", cut), F.lit(True)
+    else:
+        marked_hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        sliced = df.join(marked_hot, list(keys), "left").withColumn("_slice", F.when(F.col("_hot"), cut)).drop("_hot")
+        is_cut = F.col("_slice").isNotNull()
     inner = Window.partitionBy(*keys, "_slice").orderBy(ts)
     marked = sliced.withColumns({
         **{out: F.lag(src).over(inner) for src, out in cols.items()},
         "_before": F.lag(ts).over(inner),
         "_after": F.lead(ts).over(inner),
     })
-    inside = marked.filter(F.col("_before").isNotNull())
+    inside = marked.filter(F.col("_before").isNotNull() | ~is_cut)
     outer = Window.partitionBy(*keys).orderBy(ts)
     edges = (
-        marked.filter(F.col("_before").isNull() | F.col("_after").isNull())
+        marked.filter(is_cut & (F.col("_before").isNull() | F.col("_after").isNull()))
         .withColumns({out: F.lag(src).over(outer) for src, out in cols.items()})
         .filter(F.col("_before").isNull())
     )
-    return inside.unionByName(edges).drop("_slice", "_before", "_after")
+    return inside.unionByName(edges).select(*df.columns, *cols.values())
 
 
 def counter_delta(
@@ -69,6 +86,7 @@ def counter_delta(
     carry_over_nulls: bool = False,
     max_gap_seconds: int | None = None,
     slice_seconds: int = 3600,
+    hot_rows: int | None = 1_000_000,
     seed: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Interval value of a cumulative counter: the rise since the previous reading.
@@ -78,7 +96,9 @@ def counter_delta(
     the next interval NULL too, unless ``carry_over_nulls`` compares with the last known
     value. A silence longer than ``max_gap_seconds`` gives NULL. ``seed`` names two columns
     (value, time) with the reading before the first row of the key, for data that continues
-    an earlier run.
+    an earlier run. Keys with more than ``hot_rows`` rows are cut into slices as in
+    ``lag_columns``; finding them reads the key columns once more, so for input that is dear
+    to compute twice pass None, which cuts all keys.
     """
     rows = latest_per_snapshot(df, [*keys, ts], tie_break) if tie_break else df
     series = list(keys)
@@ -87,7 +107,11 @@ def counter_delta(
         # drop out of the comparison of known readings.
         rows = rows.withColumn("_known", F.col(counter).isNotNull())
         series.append("_known")
-    rows = lag_columns(rows, series, ts, {counter: "_prev", ts: "_prev_ts"}, slice_seconds)
+    hot = None
+    if hot_rows is not None:
+        counted = df.withColumn("_known", F.col(counter).isNotNull()) if carry_over_nulls else df
+        hot = hot_keys(counted, series, hot_rows)
+    rows = lag_columns(rows, series, ts, {counter: "_prev", ts: "_prev_ts"}, slice_seconds, hot)
     before, since = F.col("_prev"), F.col("_prev_ts")
     if seed:
         before = F.when(since.isNull(), F.col(seed[0])).otherwise(before)

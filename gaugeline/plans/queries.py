@@ -13,7 +13,7 @@ from ..functions.time import local_day_window, ts_lit, within
 from ..operators import config as C
 from ..operators import flatten, gaps, landing, metrics, order, pivot, quality, retention, rollup, status, windows
 from ..operators.quality import Rule
-from ..schemas import CLEANUP_AUDIT, READINGS_ENVELOPE, struct
+from ..schemas import CLEANUP_AUDIT, CONNECTION_STATUS, READINGS_ENVELOPE, struct
 from ..session import work_dir
 from ..sources import envelopes, merge, tables
 from ..streaming.delta import stream_counter_delta
@@ -567,6 +567,24 @@ def latest_inventory(spark, sf_dir):
     )
 
 
+@query("""
+SELECT c_custkey, c_name, count(o_orderkey) AS orders, round(coalesce(sum(o_totalprice), 0), 2) AS total
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL
+""")
+def materialized_view(spark, sf_dir):
+    """A fully recomputed table, written and read back."""
+    totals = I.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total")
+    )
+    view = I.table(spark, sf_dir, "customer").select("c_custkey", "c_name").join(totals, "c_custkey", "left")
+    path = work_dir(spark, "view")
+    tables.materialize(view.select(
+        "c_custkey", "c_name", F.coalesce("orders", F.lit(0)).alias("orders"),
+        F.round(F.coalesce("total", F.lit(0.0)), 2).alias("total"),
+    ), path)
+    return spark.read.schema("c_custkey bigint, c_name string, orders bigint, total double").parquet(path)
+
+
 @query("""
 SELECT event_id, 'k' AS name, CAST(props->>'$.k' AS INTEGER) AS level, value AS multiplier FROM events
 """)
@@ -1160,6 +1178,37 @@ def config_counts(spark, sf_dir):
     return C.config_counts(_marked_connections(spark, sf_dir))
 
 
+@query("SELECT DISTINCT 'sensor_' || user_id AS connection_id FROM events WHERE user_id % 2 = 0")
+def active_connections(spark, sf_dir):
+    return C.active_only(_marked_connections(spark, sf_dir)).select("connection_id")
+
+
+@query(f"WITH {CONFIG_SQL} SELECT connection_id, CAST(iv AS INTEGER) AS expected_interval_minutes FROM cfg")
+def select_connections(spark, sf_dir):
+    """All connections of one connector."""
+    config = C.select_connections(I.connections(spark, sf_dir), connector="sensor_api")
+    return config.select("connection_id", "expected_interval_minutes")
+
+
+@query(f"""
+{STATUS_WITH}
+SELECT s.connection_id, s.status, s.completeness_pct, 100.0 - s.completeness_pct AS missing_data_pct,
+       CAST(n_hours AS INTEGER) AS n_hours
+FROM status s LEFT JOIN (SELECT connection_id, count(*) AS n_hours FROM pct GROUP BY ALL) USING (connection_id)
+""")
+def serving_stream(spark, sf_dir):
+    """The status appended to its history, and the history mirrored by an incremental stream."""
+    out = work_dir(spark, "serving")
+    tables.append_history(_snapshot(spark, sf_dir), f"{out}/history")
+    history = tables.stream_table(spark, f"{out}/history", CONNECTION_STATUS)
+    served = tables.serving_projection(history)
+    tables.run_incremental(served, f"{out}/served", f"{out}/checkpoint")
+    return spark.read.schema(served.schema).parquet(f"{out}/served").select(
+        "connection_id", "status", "completeness_pct", "missing_data_pct",
+        F.json_array_length("hourly_metrics").alias("n_hours"),
+    )
+
+
 ZONES = ["Europe/Amsterdam", "Asia/Kolkata", "America/New_York"]
 
 

@@ -9,7 +9,8 @@ from gaugeline.plans import inputs
 
 SF = "/root/testdata/sf0.001"
 STREAMED = {"counter_delta_stream", "counter_delta_incremental", "pivot_wide_stream", "pivot_wide_incremental",
-            "sensor_fact_stream", "stream_health_refresh", "envelope_roundtrip", "list_landed", "history_append"}
+            "sensor_fact_stream", "stream_health_refresh", "envelope_roundtrip", "list_landed", "history_append", "serving_stream",
+            "materialized_view"}
 BATCH = sorted(set(entry.queries()) - STREAMED)
 
 
