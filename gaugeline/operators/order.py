@@ -68,8 +68,11 @@ def lag_columns(
     })
     inside = marked.filter(F.col("_before").isNotNull() | ~is_cut)
     outer = Window.partitionBy(*keys).orderBy(ts)
+    # Written as a case, the filter cannot be split and moved below the shuffle, which would
+    # then be another one than that of the other branch.
+    at_edge = F.when(F.col("_before").isNull() | F.col("_after").isNull(), is_cut).otherwise(False)
     edges = (
-        marked.filter(is_cut & (F.col("_before").isNull() | F.col("_after").isNull()))
+        marked.filter(at_edge)
         .withColumns({out: F.lag(src).over(outer) for src, out in cols.items()})
         .filter(F.col("_before").isNull())
     )
