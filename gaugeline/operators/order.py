@@ -58,7 +58,7 @@ def lag_columns(
         sliced, is_cut = df.withColumn("_slice", cut), F.lit(True)
     else:
         marked_hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        sliced = df.join(marked_hot, list(keys), "left").withColumn("_slice", F.when(F.col("_hot"), cut)).drop("_hot")
+        sliced = df.join(marked_hot, hot.columns, "left").withColumn("_slice", F.when(F.col("_hot"), cut)).drop("_hot")
         is_cut = F.col("_slice").isNotNull()
     inner = Window.partitionBy(*keys, "_slice").orderBy(ts)
     marked = sliced.withColumns({
@@ -90,6 +90,7 @@ def counter_delta(
     max_gap_seconds: int | None = None,
     slice_seconds: int = 3600,
     hot_rows: int | None = 1_000_000,
+    hot: DataFrame | None = None,
     seed: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Interval value of a cumulative counter: the rise since the previous reading.
@@ -101,7 +102,7 @@ def counter_delta(
     (value, time) with the reading before the first row of the key, for data that continues
     an earlier run. Keys with more than ``hot_rows`` rows are cut into slices as in
     ``lag_columns``; finding them reads the key columns once more, so for input that is dear
-    to compute twice pass None, which cuts all keys.
+    to compute twice pass the ``hot`` keys, or None for ``hot_rows``, which cuts all keys.
     """
     rows = latest_per_snapshot(df, [*keys, ts], tie_break) if tie_break else df
     series = list(keys)
@@ -110,10 +111,8 @@ def counter_delta(
         # drop out of the comparison of known readings.
         rows = rows.withColumn("_known", F.col(counter).isNotNull())
         series.append("_known")
-    hot = None
-    if hot_rows is not None:
-        counted = df.withColumn("_known", F.col(counter).isNotNull()) if carry_over_nulls else df
-        hot = hot_keys(counted, series, hot_rows)
+    if hot is None and hot_rows is not None:
+        hot = hot_keys(df, keys, hot_rows)
     rows = lag_columns(rows, series, ts, {counter: "_prev", ts: "_prev_ts"}, slice_seconds, hot)
     before, since = F.col("_prev"), F.col("_prev_ts")
     if seed:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.order import Order, counter_delta
+from ..operators.order import Order, counter_delta, hot_keys
 from ..operators.pivot import pivot_categories
 
 Step = Callable[[DataFrame, DataFrame | None], DataFrame]
@@ -89,10 +89,13 @@ def incremental_counter_delta(
     tie_break: Order = (),
     horizon: str = "8 days",
     max_gap_seconds: int | None = 8 * 24 * 3600,
+    hot_rows: int = 1_000_000,
 ) -> None:
     """Interval values of what is new, continuing from the last reading of each key.
 
-    Rows at or before it, or behind the watermark, are stored as late with no interval.
+    Rows at or before it, or behind the watermark, are stored as late with no interval. Keys
+    with more than ``hot_rows`` new rows are cut into slices; ``stream`` should be stateless,
+    as each micro-batch is read twice to find them.
     """
     value_type = stream.schema[counter].dataType.simpleString()
     order = list(tie_break) or [(counter, "asc")]
@@ -102,7 +105,7 @@ def incremental_counter_delta(
         # Late rows take part as keys of their own, so that the batch is read only once.
         marked = counter_delta(
             rows, [*keys, "is_late"], ts, counter, out, tie_break=order, max_gap_seconds=max_gap_seconds,
-            hot_rows=None, seed=("_last_value", "_last_time"),
+            hot=hot_keys(batch, keys, hot_rows), seed=("_last_value", "_last_time"),
         )
         return marked.withColumn(out, F.when(~F.col("is_late"), F.col(out))).drop("_last_value", "_last_time")
 

@@ -43,7 +43,7 @@ def run_delta(feed, kind, **kw):
     else:
         gap = kw.pop("max_gap", "8 days")
         incremental_counter_delta(feed.stream(), ["key"], "ts", "v", feed.path("out"), feed.path("state"), feed.path("cp"),
-                                  max_gap_seconds=int(gap.split()[0]) * 86400, **kw)
+                                  max_gap_seconds=int(gap.split()[0]) * 86400, hot_rows=3, **kw)
 
 
 def seconds(df):
