@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm import byte_bpe
+from gaugeline.llm import byte_bpe, line_spread, lsh_forest, quality_rules
 from gaugeline.llm.tables import load
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,8 +16,28 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(load(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    cleaned = line_spread.remove_boilerplate(docs)
+    return cleaned.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
+
+
+def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "p_good")
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_line_spread": op4_line_spread,
+    "op6_lsh_forest": op6_lsh_forest,
+    "op9_weak_rules": op9_weak_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_line_spread": line_spread.SQL,
+}
