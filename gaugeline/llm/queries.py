@@ -6,16 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import byte_bpe, line_spread, lsh_forest, quality_rules
+from gaugeline.llm import byte_bpe, line_blocks, line_spread, lsh_forest, quality_rules, template_leaks, token_index
 from gaugeline.llm.tables import load
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_leaks.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(load(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_blocks.main_text(load(spark, sf_dir, "pages"))
+
+
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
     cleaned = line_spread.remove_boilerplate(docs)
@@ -26,15 +35,22 @@ def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op8_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index.write_and_read(load(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(load(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "p_good")
 
 
 QUERIES = {
+    "op1_template_leaks": op1_template_leaks,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_line_blocks": op3_line_blocks,
     "op4_line_spread": op4_line_spread,
     "op6_lsh_forest": op6_lsh_forest,
+    "op8_token_index": op8_token_index,
     "op9_weak_rules": op9_weak_rules,
 }
 
