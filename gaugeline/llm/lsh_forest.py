@@ -254,3 +254,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     component = F.coalesce("component", "first", "doc")
     return rows.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                        F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The documents without those that have a near duplicate of a smaller id in their group, with all their columns."""
+    others = near_duplicates(docs, key, text, percent).filter(~F.col("kept")).select(key).distinct()
+    return docs.join(others, key, "left_anti").select(*docs.columns)

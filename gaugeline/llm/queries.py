@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import byte_bpe, line_blocks, line_spread, lsh_forest, quality_rules, template_leaks, token_index
+from gaugeline.llm import (
+    byte_bpe, disclosure, factor_quality, lang_crf, line_blocks, line_spread, lsh_forest, quality_rules, template_leaks, token_index)
 from gaugeline.llm.tables import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,10 +32,25 @@ def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 
 
+def _remainder(n: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op5_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    field = lang_crf.fit_on(docs.filter(_remainder(4) != 2))
+    found = lang_crf.predict(docs.select("doc_id", "text"), field)
+    return found.select("doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.personal_data(load(spark, sf_dir, "documents"))
+
+
 def op8_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.write_and_read(load(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -44,14 +60,25 @@ def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "p_good")
 
 
+def op10_factor_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load(spark, sf_dir, "labels").select("doc_id", "quality").filter(_remainder(5) != 0)
+    found = factor_quality.score(docs, factor_quality.fit(factor_quality.sample(docs, labels)))
+    return found.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_template_leaks": op1_template_leaks,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_line_blocks": op3_line_blocks,
     "op4_line_spread": op4_line_spread,
+    "op5_lang_crf": op5_lang_crf,
     "op6_lsh_forest": op6_lsh_forest,
+    "op7_disclosure": op7_disclosure,
     "op8_token_index": op8_token_index,
     "op9_weak_rules": op9_weak_rules,
+    "op10_factor_quality": op10_factor_quality,
 }
 
 ORACLE: dict[str, str] = {
