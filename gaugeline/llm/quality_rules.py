@@ -168,4 +168,7 @@ def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of documents that pass the base and the vote, with the columns they had."""
     figures = with_stats(df, text)
     model = fit(figures.select(*(v.alias(k) for k, v in votes().items())))
-    return figures.filter(~base_failed() & (model.posterior(votes()) >= KEPT_FROM)).select(*df.columns)
+    kept = ~base_failed() & (model.posterior(votes()) >= KEPT_FROM)
+    # a filter would move below the figures and repeat each of them wherever the condition uses it; an explode stays
+    once = F.explode(F.when(kept, F.array(F.lit(True)))).alias(_P + "kept")
+    return figures.select(*df.columns, once).select(*df.columns)
