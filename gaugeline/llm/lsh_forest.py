@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.components import components
-from gaugeline.llm.tables import stored
+from gaugeline.llm.tables import sent_if_small, stored
 from gaugeline.llm.words import chunks, constants, gather, mix, windows, words_of
 
 RUN = 5
@@ -232,7 +232,7 @@ def confirmed(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, key: str,
 
     kind = sketches.select("doc").schema[0].dataType.simpleString()
     likely = stored(met.mapInArrow(alike, f"a {kind}, b {kind}").distinct(), "likely")
-    ids = likely.select(F.col("a").alias(key)).union(likely.select("b")).distinct()
+    ids = sent_if_small(likely.select(F.col("a").alias(key)).union(likely.select("b")).distinct(), "to-confirm")
     sets = stored(shingle_sets(docs.select(key, text).join(ids, key, "left_semi"), key, text), "sets")
     both = likely.join(sets.select(F.col("doc").alias("a"), F.col("hashes").alias("x")), "a")
     both = both.join(sets.select(F.col("doc").alias("b"), F.col("hashes").alias("y")), "b")
@@ -259,4 +259,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents without those that have a near duplicate of a smaller id in their group, with all their columns."""
     others = near_duplicates(docs, key, text, percent).filter(~F.col("kept")).select(key).distinct()
+    others = sent_if_small(others, "others")
     return docs.join(others, key, "left_anti").select(*docs.columns)
