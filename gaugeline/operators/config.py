@@ -180,6 +180,29 @@ class FactSource:
         for clause in self.clauses:
             yield f"clause:{clause}", self.frame.filter(F.expr(clause)), []
 
+    @property
+    def answers(self) -> list[str]:
+        """The values of ``match_on`` that the source can answer."""
+        return [",".join(keys) for keys in self.key_sets] + [f"clause:{c}" for c in self.clauses]
+
+
+def distinct_sources(sources: Sequence[FactSource]) -> Sequence[FactSource]:
+    """The sources, if no table is given twice for one time column: its records would count twice."""
+    pairs = [(s.table, s.ts) for s in sources]
+    twice = sorted({p for p in pairs if pairs.count(p) > 1})
+    if twice:
+        raise ValueError(f"fact tables given more than once for a time column: {twice}")
+    return sources
+
+
+def answered(sources: Sequence[FactSource]) -> Column:
+    """Whether one of the sources can match a connection of ``connection_predicate``."""
+    out = F.lit(False)
+    for s in sources:
+        if s.frame is not None:
+            out = out | ((F.col("gold_table_name") == s.table) & (F.col("ts_col") == s.ts) & F.col("match_on").isin(s.answers))
+    return F.coalesce(out, F.lit(False))
+
 
 def match_connections(
     aggregated: DataFrame, keys: Sequence[str], config: DataFrame, source: FactSource, match_on: str
@@ -205,4 +228,8 @@ def match_connections(
         & (F.col("match_on") == match_on)
         & (F.col("ts_col") == source.ts)
     )
+    if len(keys) == 1:
+        # as SQL compares: '007' is the number 7 for a column of numbers
+        kind = source.frame.schema[keys[0]].dataType
+        mine = mine.withColumn("match_key", F.col("match_key").try_cast(kind).cast("string"))
     return mine.join(keyed, "match_key")

@@ -71,7 +71,7 @@ def _finish(points: DataFrame, period: Column, expected: Column, delay_scale: in
         "total_validation_errors": F.col("_points") - F.col("_distinct") + F.col("_nulls"),
     }
     return total.select(
-        "connection_id", interval, *[values[n].cast(t).alias(n) for n, t in HOUR_FIELDS]
+        "connection_id", interval, *[(_int(values[n]) if t == "int" else values[n].cast(t)).alias(n) for n, t in HOUR_FIELDS]
     )
 
 
@@ -206,7 +206,7 @@ def latest_per_connection(
             newest = rows.groupBy(*keys).agg(F.max(ts).alias("last_sync_timestamp"))
             matched = match_connections(newest, keys, _configured(config), source, match_on)
             found.append(matched.select("connection_id", "last_sync_timestamp"))
-    return union_all(found)
+    return union_all(found).groupBy("connection_id").agg(F.max("last_sync_timestamp").alias("last_sync_timestamp"))
 
 
 def collect_hourly(hours: DataFrame) -> DataFrame:
@@ -221,16 +221,21 @@ def _mean(col: str) -> Column:
     return F.round(F.avg(col), 9)
 
 
+def _int(total: Column) -> Column:
+    """Published counts are INT: what is larger stays at the largest INT instead of stopping all statuses."""
+    return F.least(total, F.lit(2**31 - 1)).cast("int")
+
+
 def summary_columns() -> list[Column]:
     """Aggregates over the hour rows of a connection: sums, and means of the hourly values."""
     return [
-        F.sum("data_points").cast("int").alias("data_points_24h"),
+        _int(F.sum("data_points")).alias("data_points_24h"),
         F.bround(_mean("completeness_pct"), 1).alias("completeness_pct"),
         F.bround(_mean("uptime_pct"), 1).alias("uptime_pct_24h"),
         F.bround(_mean("avg_delay_minutes"), 1).alias("avg_delay_minutes"),
-        F.sum("total_validation_errors").cast("int").alias("total_validation_errors"),
-        F.sum("duplicate_timestamps").cast("int").alias("duplicate_timestamps_24h"),
-        F.sum("null_values").cast("int").alias("null_values_24h"),
+        _int(F.sum("total_validation_errors")).alias("total_validation_errors"),
+        _int(F.sum("duplicate_timestamps")).alias("duplicate_timestamps_24h"),
+        _int(F.sum("null_values")).alias("null_values_24h"),
         _mean("completeness_pct").alias("mean_completeness"),
     ]
 

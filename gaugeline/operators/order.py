@@ -31,9 +31,29 @@ def latest_inventory(dim: DataFrame, keys: Sequence[str], order: Order = (("snap
     return latest_per_snapshot(dim, keys, order)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows. There are at most count / hot_rows of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+def _slices(df: DataFrame, keys: Sequence[str], ts: str, seconds: int) -> DataFrame:
+    """Rows dealt out once by key and time slice; rows without a time are a slice of their own."""
+    cut = F.floor(F.unix_timestamp(ts) / seconds)
+    return df.withColumn("_slice", F.coalesce(cut, F.lit(-(1 << 62)))).repartition(*keys, "_slice")
+
+
+def _lag_in_slices(sliced: DataFrame, keys: Sequence[str], ts: str, cols: dict[str, str], known: Column | None) -> DataFrame:
+    timed = F.col(ts).isNotNull()
+    counts = timed if known is None else timed & known
+    before = Window.partitionBy(*keys, "_slice").orderBy(F.col(ts).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    values = F.struct(*(F.col(src).alias(out) for src, out in cols.items()))
+    rows = sliced.withColumn("_here", F.last(F.when(counts, values), ignorenulls=True).over(before))
+    # The last row of each slice, at most one per slice however dense the readings are. It is taken whole, with copies of
+    # the keys to join by: no column and no row is then left out before the shuffle, and both branches read the same one.
+    edges = sliced.groupBy(*keys, "_slice").agg(F.max_by(F.struct(*sliced.columns), F.when(counts, F.col(ts))).alias("_last"), *(F.first(k).alias(f"_key_{k}") for k in keys))
+    edges = edges.filter(F.col("_last").isNotNull())
+    passed = edges.withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")))
+    carried = F.struct(*(F.col(f"_last.{src}").alias(out) for src, out in cols.items()))
+    passed = passed.filter(F.col("_last").isNotNull()).select(
+        *(F.col(f"_key_{k}").alias(k) for k in keys), "_slice", carried.alias("_carried"))
+    joined = rows.join(passed, [*keys, "_slice"], "left")
+    previous = F.when(counts, F.coalesce("_here", "_carried"))
+    return joined.withColumns({out: previous[out] for out in cols.values()}).drop("_here", "_carried", "_slice")
 
 
 def lag_columns(
@@ -42,41 +62,17 @@ def lag_columns(
     ts: str,
     cols: dict[str, str],
     slice_seconds: int = 3600,
-    hot: DataFrame | None = None,
+    known: Column | None = None,
 ) -> DataFrame:
     """Add for each ``cols`` entry the value of the previous row of the same key.
 
-    A plain ``lag`` puts the whole history of a key in one task. Here a key is cut into time
-    slices: rows are compared inside a slice, and only the first and last row of each slice
-    are compared over the whole key, at most two rows per slice however many readings a key
-    has. Given the ``hot`` keys (see ``hot_keys``, whose bound on their number is what allows
-    the broadcast) only those are cut, the others stay in one piece each; without, all are.
-    ``(keys, ts)`` must be unique and keys not null. Both branches read the same shuffle.
+    A plain ``lag`` puts the whole history of a key in one task. Here every key is cut into time
+    slices, whatever its size: rows are dealt out once, by key and slice, and compared inside their
+    slice; only the last row of each slice goes on to the next one, by a join. ``(keys, ts)`` must be
+    unique and keys not null. Rows without a time, and rows that are not ``known``, get NULL and
+    are no one's predecessor.
     """
-    cut = F.floor(F.unix_timestamp(ts) / slice_seconds)
-    if hot is None:
-        sliced, is_cut = df.withColumn("_slice", cut), F.lit(True)
-    else:
-        marked_hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        sliced = df.join(marked_hot, hot.columns, "left").withColumn("_slice", F.when(F.col("_hot"), cut)).drop("_hot")
-        is_cut = F.col("_slice").isNotNull()
-    inner = Window.partitionBy(*keys, "_slice").orderBy(ts)
-    marked = sliced.withColumns({
-        **{out: F.lag(src).over(inner) for src, out in cols.items()},
-        "_before": F.lag(ts).over(inner),
-        "_after": F.lead(ts).over(inner),
-    })
-    inside = marked.filter(F.col("_before").isNotNull() | ~is_cut)
-    outer = Window.partitionBy(*keys).orderBy(ts)
-    # Written as a case, the filter cannot be split and moved below the shuffle, which would
-    # then be another one than that of the other branch.
-    at_edge = F.when(F.col("_before").isNull() | F.col("_after").isNull(), is_cut).otherwise(False)
-    edges = (
-        marked.filter(at_edge)
-        .withColumns({out: F.lag(src).over(outer) for src, out in cols.items()})
-        .filter(F.col("_before").isNull())
-    )
-    return inside.unionByName(edges).select(*df.columns, *cols.values())
+    return _lag_in_slices(_slices(df, keys, ts, slice_seconds), keys, ts, cols, known)
 
 
 def counter_delta(
@@ -89,37 +85,28 @@ def counter_delta(
     carry_over_nulls: bool = False,
     max_gap_seconds: int | None = None,
     slice_seconds: int = 3600,
-    hot_rows: int | None = 1_000_000,
-    hot: DataFrame | None = None,
     seed: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Interval value of a cumulative counter: the rise since the previous reading.
 
     First readings and falls (a reset or a new meter) give NULL. With ``tie_break``
-    repeated timestamps are reduced to the first row in that order. A NULL reading makes
-    the next interval NULL too, unless ``carry_over_nulls`` compares with the last known
-    value. A silence longer than ``max_gap_seconds`` gives NULL. ``seed`` names two columns
-    (value, time) with the reading before the first row of the key, for data that continues
-    an earlier run. Keys with more than ``hot_rows`` rows are cut into slices as in
-    ``lag_columns``; finding them reads the key columns once more, so for input that is dear
-    to compute twice pass the ``hot`` keys, or None for ``hot_rows``, which cuts all keys.
+    repeated timestamps are reduced to the first row in that order, within the slices of
+    ``lag_columns``. A NULL reading makes the next interval NULL too, unless ``carry_over_nulls``
+    compares with the last known value. A silence longer than ``max_gap_seconds`` gives NULL.
+    ``seed`` names two columns (value, time) with the reading before the first row of the key, for
+    data that continues an earlier run. A reading without a time has no interval and changes no other.
     """
-    rows = latest_per_snapshot(df, [*keys, ts], tie_break) if tie_break else df
-    series = list(keys)
-    if carry_over_nulls:
-        # NULL readings get a NULL interval anyway: as a series of their own they
-        # drop out of the comparison of known readings.
-        rows = rows.withColumn("_known", F.col(counter).isNotNull())
-        series.append("_known")
-    if hot is None and hot_rows is not None:
-        hot = hot_keys(df, keys, hot_rows)
-    rows = lag_columns(rows, series, ts, {counter: "_prev", ts: "_prev_ts"}, slice_seconds, hot)
+    rows = _slices(df, keys, ts, slice_seconds)
+    if tie_break:
+        rows = latest_per_snapshot(rows, [*keys, "_slice", ts], tie_break)
+    known = F.col(counter).isNotNull() if carry_over_nulls else None
+    rows = _lag_in_slices(rows, keys, ts, {counter: "_prev", ts: "_prev_ts"}, known)
     before, since = F.col("_prev"), F.col("_prev_ts")
     if seed:
         before = F.when(since.isNull(), F.col(seed[0])).otherwise(before)
         since = F.coalesce(since, F.col(seed[1]))
-    rise = F.when(F.col(counter) >= before, F.col(counter) - before)
+    rise = F.when(F.col(ts).isNotNull() & (F.col(counter) >= before), F.col(counter) - before)
     if max_gap_seconds is not None:
         silence = F.unix_timestamp(ts) - F.unix_timestamp(since)
         rise = F.when(silence <= max_gap_seconds, rise)
-    return rows.withColumn(out, rise).drop("_prev", "_prev_ts", "_known")
+    return rows.withColumn(out, rise).drop("_prev", "_prev_ts")

@@ -56,36 +56,48 @@ def retention_summary(expired: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def cleanup_results(volumes: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
-    """A result row for every volume; those without expired files have zeros and 'none'."""
-    return volumes.join(summary, list(on), "left").withColumns({
-        "files_deleted": F.coalesce("files_deleted", F.lit(0)),
-        "bytes_deleted": F.coalesce("bytes_deleted", F.lit(0)),
-        "file_types": F.coalesce("file_types", F.lit("none")),
-        "status": F.lit("SUCCESS"),
-    })
+def cleanup_results(volumes: DataFrame, summary: DataFrame, on: Sequence[str], failed: DataFrame | None = None) -> DataFrame:
+    """A result row for every volume; those without expired files have zeros and 'none'.
+
+    ``failed`` names the volumes (columns ``on``) whose clean-up did not go through: they are FAILED, with
+    zeros, as nothing of them is known to be deleted.
+    """
+    rows = volumes.join(summary, list(on), "left")
+    bad = F.lit(False)
+    if failed is not None:
+        rows = rows.join(failed.select(*on).distinct().withColumn("_failed", F.lit(True)), list(on), "left")
+        bad = F.coalesce("_failed", F.lit(False))
+    return rows.withColumns({
+        "files_deleted": F.when(bad, F.lit(0)).otherwise(F.coalesce("files_deleted", F.lit(0))),
+        "bytes_deleted": F.when(bad, F.lit(0)).otherwise(F.coalesce("bytes_deleted", F.lit(0))),
+        "file_types": F.when(bad, F.lit("none")).otherwise(F.coalesce("file_types", F.lit("none"))),
+        "oldest_file": F.when(~bad, F.col("oldest_file")),
+        "status": F.when(bad, F.lit("FAILED")).otherwise(F.lit("SUCCESS")),
+    }).drop("_failed")
 
 
 def cleanup_totals(results: DataFrame, by: str = "connector_name") -> DataFrame:
-    """Totals per connector, and one row with a NULL connector for all of them."""
+    """Totals per connector, and one row for all of them, marked by ``is_total``."""
     return results.rollup(by).agg(
         F.count(F.lit(1)).alias("volumes"),
         F.sum("files_deleted").alias("files_deleted"),
         F.sum("bytes_deleted").alias("bytes_deleted"),
         F.round(F.sum("bytes_deleted") / F.lit(float(GIGABYTE)), 2).alias("gb_deleted"),
         F.count_if(F.col("status") == "SUCCESS").alias("succeeded"),
+        F.count_if(F.col("status") == "FAILED").alias("failed"),
+        (F.grouping(by) == 1).alias("is_total"),
     )
 
 
-def audit_rows(results: DataFrame, as_of: datetime | str) -> DataFrame:
+def audit_rows(results: DataFrame, as_of: datetime | str, root: str = "/Volumes") -> DataFrame:
     """Results in the shape of the cleanup log, with the status that ``append_audit`` filters on."""
     return results.select(
         ts_lit(as_of).alias("cleanup_timestamp"),
         F.col("client_catalog").alias("catalog_name"),
-        F.concat_ws("/", F.lit("/Volumes"), "client_catalog", F.lit("land"), "volume_name").alias("volume_path"),
+        F.concat_ws("/", F.lit(root), "client_catalog", F.lit("land"), "volume_name").alias("volume_path"),
         "retention_days",
         F.col("file_types").alias("data_type"),
-        F.col("files_deleted").cast("int").alias("files_deleted"),
+        F.least("files_deleted", F.lit(2**31 - 1)).cast("int").alias("files_deleted"),
         F.col("bytes_deleted").cast("bigint").alias("bytes_deleted"),
         F.col("oldest_file").alias("oldest_file_deleted"),
         "connector_name",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.health import DAILY_MINUTES, status_expr
 from ..functions.time import DEFAULT_ZONE, ts_lit
 from ..schemas import CONNECTION_STATUS, struct
-from .config import FactSource, active_only, connection_predicate, skip_already_checked
+from .config import FactSource, active_only, answered, connection_predicate, distinct_sources, skip_already_checked
 from .gaps import detect_gaps, gap_summary
 from .metrics import (
     _as_list, hourly_and_summary, latest_per_connection, period_metrics, streaming_hourly_metrics,
@@ -59,8 +59,9 @@ def _assemble(
 ) -> DataFrame:
     """Join the parts to the configuration; silent connections stay in.
 
-    All parts hold one row per connection. A connection whose interval is NULL or zero
-    cannot be judged: it becomes OFFLINE / ERROR with nothing else filled in.
+    ``config`` comes from ``connection_predicate``. All parts hold one row per connection. A
+    connection whose interval is NULL or zero, or whose predicate or time column none of the
+    sources of its table knows, cannot be judged: it becomes OFFLINE / ERROR with nothing else filled in.
     """
     interval = F.col("expected_interval_minutes")
     exists = F.col("gold_table_name").isin([s.table for s in sources if s.frame is not None])
@@ -75,7 +76,7 @@ def _assemble(
         joined.withColumns({"data_gap_count": count, "job_state": F.lit(job_state)}),
         as_of, delayed_days, offline_days,
     )
-    error = exists & (interval.isNull() | (interval == 0))
+    error = exists & (interval.isNull() | (interval == 0) | ~answered(sources))
     fixed = {
         "status": F.when(error, "OFFLINE").otherwise(F.col("status")),
         "job_state": F.when(error, "ERROR").otherwise(F.col("job_state")),
@@ -113,14 +114,14 @@ def status_snapshot(
     much to read every day, give the status ``history`` and a time ``history_until`` up to
     which its ``last_sync_timestamp`` is complete: only later facts are read then.
     """
-    sources = _as_list(sources)
+    sources = distinct_sources(_as_list(sources))
     matched = connection_predicate(config)
     latest = latest_per_connection(sources, matched, start=history_until)
     if history is not None:
         latest = latest.unionByName(history.select("connection_id", "last_sync_timestamp"))
         latest = latest.groupBy("connection_id").agg(F.max("last_sync_timestamp").alias("last_sync_timestamp"))
     return _assemble(
-        config, sources,
+        matched, sources,
         period_metrics(sources, matched, as_of, zone),
         latest,
         detect_gaps(sources, matched, as_of, zone=zone),
@@ -143,10 +144,10 @@ def streaming_status(
     With the default of 0 days any age makes a connection DELAYED; set ``delayed_days`` (a
     fraction will do) or the threshold in the configuration to allow for the refresh period.
     """
-    sources = _as_list(sources)
+    sources = distinct_sources(_as_list(sources))
     matched = connection_predicate(config)
     return _assemble(
-        config, sources,
+        matched, sources,
         streaming_hourly_metrics(sources, matched, as_of, critical_cols, ingestion_ts),
         latest_per_connection(sources, matched, on_processing_ts=True),
         None, as_of, run_id, "RUNNING", delayed_days, offline_days,

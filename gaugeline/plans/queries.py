@@ -470,7 +470,8 @@ LOG_SQL = "SELECT event_type AS entity, CAST(props->>'$.k' AS INTEGER) AS k FROM
 
 @query(f"""
 SELECT entity, count(*) AS fetches, count_if(k >= 10) AS files,
-       CAST(coalesce(sum(k) FILTER (k >= 10), 0) AS BIGINT) AS samples, count_if(k < 10) AS errors
+       CAST(coalesce(sum(k) FILTER (k >= 10), 0) AS BIGINT) AS samples, count_if(k < 10) AS errors,
+       grouping(entity) = 1 AS is_total
 FROM ({LOG_SQL}) GROUP BY ROLLUP (entity)
 """)
 def landing_summary(spark, sf_dir):
@@ -1326,13 +1327,51 @@ def retention_summary(spark, sf_dir):
 WITH {FILES_SQL}
 SELECT connector_name, count(*) AS volumes, CAST(sum(files_deleted) AS BIGINT) AS files_deleted,
        CAST(sum(bytes_deleted) AS BIGINT) AS bytes_deleted, round(sum(bytes_deleted) / 1073741824.0, 2) AS gb_deleted,
-       count(*) AS succeeded
+       count(*) AS succeeded, CAST(0 AS BIGINT) AS failed, grouping(connector_name) = 1 AS is_total
 FROM results GROUP BY ROLLUP (connector_name)
 """)
 def cleanup_totals(spark, sf_dir):
     return retention.cleanup_totals(_cleanup(spark, sf_dir))
 
 
+@query(f"""
+WITH {FILES_SQL},
+marked AS (
+    SELECT CASE WHEN volume_name LIKE '%1%' THEN NULL ELSE connector_name END AS connector_name,
+           CASE WHEN volume_name LIKE '%3%' THEN 0 ELSE files_deleted END AS files,
+           CASE WHEN volume_name LIKE '%3%' THEN 0 ELSE bytes_deleted END AS bytes,
+           volume_name LIKE '%3%' AS bad
+    FROM results
+)
+SELECT connector_name, count(*) AS volumes, CAST(sum(files) AS BIGINT) AS files_deleted, CAST(sum(bytes) AS BIGINT) AS bytes_deleted,
+       round(sum(bytes) / 1073741824.0, 2) AS gb_deleted, count_if(NOT bad) AS succeeded, count_if(bad) AS failed,
+       grouping(connector_name) = 1 AS is_total
+FROM marked GROUP BY ROLLUP (connector_name)
+""")
+def cleanup_totals_failed(spark, sf_dir):
+    """Volumes whose clean-up failed, and volumes without a connector, next to the marked total."""
+    volumes = I.volumes(spark, sf_dir)
+    volumes = volumes.withColumn("connector_name", F.when(~F.col("volume_name").contains("1"), F.col("connector_name")))
+    expired = retention.expired_files(I.landed_files(spark, sf_dir), volumes, I.AS_OF)
+    failed = volumes.filter(F.col("volume_name").contains("3"))
+    return retention.cleanup_totals(retention.cleanup_results(
+        volumes, retention.retention_summary(expired, ["volume_name"]), ["volume_name"], failed))
+
+
+@query(f"""
+WITH {BRONZE_SQL}
+SELECT gateway_id, object_id, ts AS "timestamp", v AS "activeEnergyTotal",
+       CASE WHEN v >= lag(v) OVER w THEN v - lag(v) OVER w END AS "interval"
+FROM bronze WINDOW w AS (PARTITION BY gateway_id, object_id ORDER BY ts)
+""")
+def counter_delta_narrow(spark, sf_dir):
+    """Slices of a second: nearly every predecessor lies in another slice."""
+    rows = I.bronze_readings(spark, sf_dir).select(*DELTA_COLUMNS, "_ingested_at", "_source_file")
+    return order.counter_delta(
+        rows, ["gateway_id", "object_id"], "timestamp", "activeEnergyTotal", tie_break=sensor.REFETCH_ORDER, slice_seconds=1
+    ).select(*DELTA_COLUMNS, "interval")
+
+
 @query(f"""
 WITH {FILES_SQL}
 SELECT connector_name, volume_name, CAST(retention_days AS INTEGER) AS retention_days,

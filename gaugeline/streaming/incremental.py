@@ -12,29 +12,46 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.order import Order, counter_delta, hot_keys
+from ..operators.order import Order, counter_delta
 from ..operators.pivot import pivot_categories
 
 Step = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 
 def run_with_state(
-    stream: DataFrame, step: Step, next_state: Step, path: str, state_path: str, checkpoint: str
+    stream: DataFrame, step: Step, next_state: Step, path: str, state_path: str, checkpoint: str,
+    identity: Sequence[str], values: Sequence[str],
 ) -> None:
     """Run once over what is new.
 
     For each micro-batch ``step(batch, state)`` gives the rows to store, marked with
     ``is_late``, and ``next_state(accepted, state)`` the state after it. Both are written to
     folders with the number of the micro-batch, so one that is repeated after a failure
-    starts from the same state and replaces what it had written.
+    starts from the same state and replaces what it had written. Late rows that say nothing new
+    are repeats of a fetch and go: those for which a row accepted before has the same
+    ``identity``, and the same value in each of the ``values`` columns that the late row fills.
     """
 
+    def new_late(rows: DataFrame, batch_id: int) -> DataFrame:
+        schema = T.StructType([*rows.schema, T.StructField("batch", T.LongType())])
+        before = rows.sparkSession.read.schema(schema).parquet(path)
+        accepted = before.filter((F.col("batch") < batch_id) & ~F.col("is_late"))
+        seen = accepted.select(*identity, F.lit(True).alias("is_late"), *(F.col(v).alias(f"_seen_{v}") for v in values))
+        told = F.lit(True)
+        for c in [*identity, "is_late"]:
+            told = told & (rows[c] == seen[c])
+        for v in values:
+            told = told & (rows[v].isNull() | rows[v].eqNullSafe(seen[f"_seen_{v}"]))
+        return rows.join(seen, told, "left_anti").select(*rows.columns)
+
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         state = spark.read.parquet(f"{state_path}/batch={batch_id - 1}") if batch_id else None
         target = f"{path}/batch={batch_id}"
         rows = step(batch, state)
+        rows = new_late(rows, batch_id) if batch_id else rows
         rows.write.mode("overwrite").partitionBy("is_late").parquet(target)
         stored = spark.read.schema(rows.schema).parquet(target)
         accepted = stored.filter(~F.col("is_late"))
@@ -73,8 +90,9 @@ def _merge_state(newest: DataFrame, state: DataFrame | None, keys: Sequence[str]
     old = state.select(*keys, F.struct("_last_value", "_last_time").alias("_old"))
     new = newest.select(*keys, F.struct("_last_value", "_last_time").alias("_new"))
     merged = new.join(old, list(keys), "full").select(*keys, F.coalesce("_new", "_old").alias("_s")).select(*keys, "_s.*")
-    edge = state.agg((F.max("_last_time") - F.expr(f"INTERVAL {horizon}") * 2).alias("edge")).first()["edge"]
-    return merged.filter(F.col("_last_time") >= F.lit(edge))
+    both = new.select("_new._last_time").union(old.select("_old._last_time"))
+    edge = both.agg((F.max("_last_time") - F.expr(f"INTERVAL {horizon}") * 2).alias("edge")).first()["edge"]
+    return merged if edge is None else merged.filter(F.col("_last_time") >= F.lit(edge))
 
 
 def incremental_counter_delta(
@@ -89,13 +107,11 @@ def incremental_counter_delta(
     tie_break: Order = (),
     horizon: str = "8 days",
     max_gap_seconds: int | None = 8 * 24 * 3600,
-    hot_rows: int = 1_000_000,
 ) -> None:
     """Interval values of what is new, continuing from the last reading of each key.
 
-    Rows at or before it, or behind the watermark, are stored as late with no interval. Keys
-    with more than ``hot_rows`` new rows are cut into slices; ``stream`` should be stateless,
-    as each micro-batch is read twice to find them.
+    Rows at or before it, or behind the watermark, are stored as late with no interval, unless
+    they repeat a row that was accepted before.
     """
     value_type = stream.schema[counter].dataType.simpleString()
     order = list(tie_break) or [(counter, "asc")]
@@ -105,7 +121,7 @@ def incremental_counter_delta(
         # Late rows take part as keys of their own, so that the batch is read only once.
         marked = counter_delta(
             rows, [*keys, "is_late"], ts, counter, out, tie_break=order, max_gap_seconds=max_gap_seconds,
-            hot=hot_keys(batch, keys, hot_rows), seed=("_last_value", "_last_time"),
+            seed=("_last_value", "_last_time"),
         )
         return marked.withColumn(out, F.when(~F.col("is_late"), F.col(out))).drop("_last_value", "_last_time")
 
@@ -115,7 +131,7 @@ def incremental_counter_delta(
         )
         return _merge_state(newest, state, keys, horizon)
 
-    run_with_state(stream, step, next_state, path, state_path, checkpoint)
+    run_with_state(stream, step, next_state, path, state_path, checkpoint, [*keys, ts], [counter])
 
 
 def incremental_pivot(
@@ -143,4 +159,4 @@ def incremental_pivot(
         newest = newest.withColumn("_last_value", F.lit(None).cast("double"))
         return _merge_state(newest.select(*keys, "_last_value", "_last_time"), state, keys, horizon)
 
-    run_with_state(stream, step, next_state, path, state_path, checkpoint)
+    run_with_state(stream, step, next_state, path, state_path, checkpoint, [*keys, ts], [*mapping.values(), *([drift] if drift else [])])

@@ -246,3 +246,39 @@ def test_partition_folders_are_pruned(spark, tmp_path):
     assert snap.collect() == status.status_snapshot(config, source(facts), AS_OF, "r").collect()
     plan = gaps.detect_gaps(stored, C.connection_predicate(config), AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_predicate_that_no_source_knows_is_an_error_and_not_offline(spark):
+    facts = make_facts(spark, [("a", "2024-01-20 11:00:00", 0)])
+    config = make_config(spark, [
+        ("known", 30, 1, 4, '{"filter_clause": "sk = \'a\'"}', "t"),
+        ("clause", 30, 1, 4, '{"filter_clause": "sk = \'a\' AND unit = \'y\'"}', "t"),
+        ("column", 30, 1, 4, '{"filter_clause": "sk = \'a\'", "timestamp_col": "other"}', "t")])
+    got = {r["connection_id"]: (r["status"], r["job_state"]) for r in status.status_snapshot(config, source(facts), AS_OF, "r").collect()}
+    assert got == {"known": ("DELAYED", "SUCCESS"), "clause": ("OFFLINE", "ERROR"), "column": ("OFFLINE", "ERROR")} or \
+        got == {"known": ("ACTIVE", "SUCCESS"), "clause": ("OFFLINE", "ERROR"), "column": ("OFFLINE", "ERROR")}
+
+
+def test_a_table_given_twice_is_refused(spark):
+    facts = make_facts(spark, [("a", "2024-01-20 11:00:00", 0)])
+    with pytest.raises(ValueError, match="more than once"):
+        status.status_snapshot(by_sk(spark, ("a", 30)), [source(facts), source(facts, processing_ts="x")], AS_OF, "r")
+
+
+def test_numbers_are_matched_as_numbers(spark):
+    facts = make_facts(spark, [("7", "2024-01-20 11:00:00", 0)]).withColumn("user_id", F.col("sk").cast("int"))
+    config = make_config(spark, [("n", 30, 1, 4, '{"filter_clause": "user_id = \'007\'"}', "t")])
+    r = status.status_snapshot(config, source(facts, key_sets=(("user_id",),)), AS_OF, "r").first()
+    assert r["last_sync_timestamp"] is not None and r["job_state"] == "SUCCESS"
+
+
+def test_an_empty_batch_is_no_refresh(spark):
+    from gaugeline.streaming.health import newest
+    assert newest("timestamp")(make_facts(spark, [("a", "2024-01-20 11:00:00", 0)]).limit(0)) is None
+
+
+def test_totals_are_marked(spark):
+    from gaugeline.operators.landing import landing_summary
+    log = spark.createDataFrame([(None, "success", 2), ("a", "error", 0)], "entity string, status string, samples int")
+    assert sorted((r.is_total, r.entity is None, r.fetches) for r in landing_summary(log).collect()) == [
+        (False, False, 1), (False, True, 1), (True, True, 2)]

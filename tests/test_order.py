@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gaugeline.operators.order import counter_delta, hot_keys, lag_columns, latest_inventory, latest_per_snapshot
+from gaugeline.operators.order import counter_delta, lag_columns, latest_inventory, latest_per_snapshot
 
 READINGS = [(0, 10.0), (30, 12.0), (30, 12.0), (60, 11.0), (90, None), (120, 13.0), (150, 14.0)]
 
@@ -53,30 +53,37 @@ def test_sliced_lag_equals_plain_lag_with_a_hot_key(spark):
     df = spark.createDataFrame(data, "key string, s long, v double").withColumn("ts", F.timestamp_seconds("s"))
     w = Window.partitionBy("key").orderBy("ts")
     plain = df.withColumns({"pv": F.lag("v").over(w), "pts": F.lag("ts").over(w)})
-    hot = hot_keys(df, ["key"], 100)
-    assert [r[0] for r in hot.collect()] == ["hot"]
-    for width, cut in ((60, None), (3600, None), (10_000_000, None), (3600, hot)):
-        sliced = lag_columns(df, ["key"], "ts", {"v": "pv", "ts": "pts"}, slice_seconds=width, hot=cut)
-        assert sliced.exceptAll(plain.select(sliced.columns)).count() == 0
+    for width in (60, 3600, 10_000_000):
+        sliced = lag_columns(df, ["key"], "ts", {"v": "pv", "ts": "pts"}, slice_seconds=width)
+        assert sliced.select(plain.columns).exceptAll(plain).count() == 0
         assert sliced.count() == df.count()
 
 
-def test_sliced_lag_shares_one_shuffle(spark):
-    for hot_rows in (None, 3):
-        df = counter_delta(readings(spark), ["key"], "ts", "v", tie_break=[("n", "asc")], hot_rows=hot_rows)
-        df.collect()
-        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+def test_one_full_shuffle_and_no_broadcast_of_keys(spark):
+    data = spark.createDataFrame([("a", 1, 0, 5.0), ("a", 2, 7200, 6.0)], "key string, n int, s long, v double")
+    df = counter_delta(data.withColumn("ts", F.timestamp_seconds("s")), ["key"], "ts", "v", tie_break=[("n", "asc")])
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("REPARTITION_BY_COL") == 2
 
 
-def test_cutting_hot_keys_changes_nothing(spark):
+def test_width_of_slices_changes_nothing(spark):
     df = readings(spark, [(i * 50, None if i % 7 == 0 else float(i % 31)) for i in range(500)])
     for carry in (False, True):
-        want = intervals(counter_delta(df, ["key"], "ts", "v", carry_over_nulls=carry, hot_rows=10**9))
-        for hot_rows in (10, None):
-            got = counter_delta(df, ["key"], "ts", "v", carry_over_nulls=carry, hot_rows=hot_rows, slice_seconds=600)
+        want = intervals(counter_delta(df, ["key"], "ts", "v", carry_over_nulls=carry, slice_seconds=10**9))
+        for width in (1, 60, 600):
+            got = counter_delta(df, ["key"], "ts", "v", carry_over_nulls=carry, slice_seconds=width)
             assert intervals(got) == want
 
 
+def test_reading_without_a_time_changes_no_other(spark):
+    df = spark.createDataFrame([("a", None, 5.0), ("a", 0, 10.0), ("a", 7200, 12.0)], "key string, s long, v double")
+    df = df.withColumn("ts", F.timestamp_seconds("s"))
+    for width in (60, 3600, 10**9):
+        got = {r.s: r.interval for r in counter_delta(df, ["key"], "ts", "v", slice_seconds=width).collect()}
+        assert got == {None: None, 0: None, 7200: 2.0}
+
+
 def test_latest_keeps_one_row_before_the_shuffle(spark, rows):
     df = spark.createDataFrame(
         [("a", 1, 1, "old"), ("a", 1, 2, "new"), ("a", 2, 1, "x"), ("b", 1, 1, "y")],

@@ -43,7 +43,7 @@ def run_delta(feed, kind, **kw):
     else:
         gap = kw.pop("max_gap", "8 days")
         incremental_counter_delta(feed.stream(), ["key"], "ts", "v", feed.path("out"), feed.path("state"), feed.path("cp"),
-                                  max_gap_seconds=int(gap.split()[0]) * 86400, hot_rows=3, **kw)
+                                  max_gap_seconds=int(gap.split()[0]) * 86400, **kw)
 
 
 def seconds(df):
@@ -159,3 +159,23 @@ def test_bounded_micro_batches(spark, tmp_path):
     write_with_late(df, feed.path("out"), feed.path("cp"))
     stored = spark.read.parquet(feed.path("out"))
     assert stored.select("batch").distinct().count() == 3
+
+
+def test_incremental_recovers_from_an_empty_state(spark, tmp_path):
+    feed = Feed(spark, tmp_path, READING)
+    feed.add([("k", None, 9.0, 1)])
+    run_delta(feed, "set")
+    for n, (s, v) in enumerate([(0.0, 10.0), (30.0, 12.0), (60.0, 15.0)]):
+        feed.add([("k", s, v, n)])
+        run_delta(feed, "set")
+    assert seconds(feed.result(OUT)) == [(0, None), (30, 2.0), (60, 3.0)]
+
+
+def test_incremental_keeps_no_repeats_of_accepted_rows(spark, tmp_path):
+    feed = Feed(spark, tmp_path, READING)
+    feed.add([("k", 0.0, 10.0, 1), ("k", 60.0, 14.0, 2)])
+    run_delta(feed, "set")
+    feed.add([("k", 0.0, 10.0, 1), ("k", 30.0, 12.0, 3), ("k", 60.0, 14.0, 2), ("k", 90.0, 15.0, 4)])
+    run_delta(feed, "set")
+    assert seconds(feed.result(OUT)) == [(0, None), (60, 4.0), (90, 1.0)]
+    assert seconds(feed.result(OUT, late=True)) == [(30, None)]
