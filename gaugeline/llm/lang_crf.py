@@ -115,8 +115,8 @@ def first_words(words: Words) -> np.ndarray:
 
 def forward_backward(emission: np.ndarray, first: np.ndarray, transition: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n, k = emission.shape
-    if not n:
-        return emission, np.zeros((k, k))
+    if not n or not k:
+        return np.zeros((n, k)), np.zeros((k, k))
     width = max(1, int(n ** 0.5))
     blocks = -(-n // width)
     weight = np.ones((blocks * width, k))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.tables import stored
+from gaugeline.llm.tables import sent_if_small, stored
 from gaugeline.llm.words import chunks, constants, range_hashes, windows, words_of
 
 SIZE, PLAIN, SHORTEST = 8, 5, 5
@@ -186,5 +186,5 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 def remove_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                  item_text: str = "text") -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    held = leaks(docs, items, key, text, item_key, item_text).select(key).distinct()
+    held = sent_if_small(leaks(docs, items, key, text, item_key, item_text).select(key).distinct(), "leaking")
     return docs.join(held, key, "left_anti").select(*docs.columns)
