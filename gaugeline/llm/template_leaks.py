@@ -1,7 +1,7 @@
 """Benchmark items in documents, also with other numbers, names and units: windows of templates and consistent slots.
 
 Words are reduced to templates: outer punctuation goes, letters become small, a number, a unit after a number and a name
-(a capital inside a sentence) become placeholders of their kind. Windows of eight template words, five of them plain at
+(one capital at the start of a word inside a sentence) become placeholders of their kind. Windows of eight template words, five of them plain at
 least, are joined by hash with the windows of the benchmark. What stood in the placeholders travels along as slot values.
 
 A document holds an item if three of the item's windows (all, if it has fewer) stand in it and its slots are
@@ -86,7 +86,9 @@ class Template:
         first = data[start]
         number = (first >= 48) & (first <= 57) & (digits[end] > digits[start])
         capital = (small[start] != first) | ((first == 0xC3) & (small[np.minimum(start + 1, max(n - 1, 0))] != data[np.minimum(start + 1, max(n - 1, 0))]))
-        name = capital & ~opens
+        second = np.minimum(start + np.where(first == 0xC3, 2, 1), max(n - 1, 0))
+        # words in capitals throughout, and single capitals, are no names: their text may be set in capitals
+        name = capital & ~opens & (second < end) & (small[second] == data[second])
         unit = np.zeros(len(start), bool)
         unit[1:] = number[:-1] & (self.text[1:] == self.text[:-1]) & np.isin(self.value[1:], _UNIT_HASHES)
         self.hash = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, self.value)))

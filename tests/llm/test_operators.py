@@ -144,12 +144,12 @@ def test_template_leaks(spark, cases):
     items = spark.createDataFrame([(1, "Tom has 5 apples and gives 2 kg of them to Mary before lunch. How many apples does Tom have left now?"),
                                    (2, "the cat sat"), (3, "one plain five word item"), (4, None)], "item_id int, text string")
     rows = [(1, "Well, Sam has 7 apples and gives 3 g of them to Lucy before lunch. How many apples does Sam have left now? Ok"),
-            (2, None), (3, ""), (4, "one plain five word item"), (5, "one plain five words item"),
+            (2, None), (3, ""), (4, "one plain five word item"), (5, "one plain five words item"), (8, "A TEXT IN CAPITALS. ONE PLAIN FIVE WORD ITEM IN IT"),
             (6, "tom has 5 apples and gives 2 kg of them to Mary before lunch. How many apples does Tom have left now?"),
             (7, "x has 7 apples and gives 3 g of them to Lucy before lunch. now Ann has 8 apples and gives 9 g of them to Eve before lunch")]
     docs = spark.createDataFrame(rows, "doc_id int, text string")
     got = {(r.doc_id, r.item_id): r.kind for r in template_leaks.leaks(docs, items).collect()}
-    assert got == {(1, 1): "template", (6, 1): "exact", (4, 3): "exact"}
+    assert got == {(1, 1): "template", (6, 1): "exact", (4, 3): "exact", (8, 3): "exact"}
     assert sorted(r.doc_id for r in template_leaks.remove_leaks(docs, items).collect()) == [2, 3, 5, 7]
     assert template_leaks.leaks(cases, items.filter("item_id < 0")).count() == 0
     assert template_leaks.remove_leaks(cases, items).count() == cases.count()
