@@ -198,8 +198,10 @@ def fit(texts: list[str], languages: list[str], rounds: int = 30, rate: float =
 def fit_on(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang") -> Field:
     """The field of the SAMPLE rows with the smallest hash of their key that have a language and a text of bounded length."""
     known = docs.filter(F.col(language).isNotNull() & (F.length(text) <= TRAINING_CHARS))
-    known = known.select(F.xxhash64(key).alias("h"), F.col(language).alias("language"), F.col(text).alias("text"))
-    rows = known.orderBy("h", "language", "text").limit(SAMPLE).collect()
+    # first the keys, so that each task sends the driver small rows only
+    chosen = known.select(F.col(key).alias("id"), F.xxhash64(key).alias("h")).distinct().orderBy("h").limit(SAMPLE)
+    rows = known.join(F.broadcast(chosen), known[key] == F.col("id")).select("h", F.col(language).alias("language"), F.col(text).alias("text")).collect()
+    rows = sorted(rows, key=lambda r: (r["h"], r["language"], r["text"]))[:SAMPLE]
     return fit([r["text"] for r in rows], [r["language"] for r in rows])
 
 
