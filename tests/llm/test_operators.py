@@ -104,6 +104,24 @@ def test_near_duplicates_equal_brute_force(spark, cases):
     assert lsh_forest.near_duplicates(cases.filter("doc_id < 0")).count() == 0
 
 
+def test_links_within_a_crowd_of_form_texts(spark, monkeypatch):
+    """Texts that are four fifths one form: all share regions, the form's text is no one's link, pairs of copies are."""
+    form, r = prose(200, 50).split(), random.Random(8)
+    texts = []
+    for k in range(60):
+        own = [f"own{k}x{j}" for j in range(30)]
+        texts += [" ".join(form + own), " ".join(form + own[:-2] + ["other", f"end{k}"])]
+    r.shuffle(texts)
+    docs = dict(enumerate(texts))
+    want = brute.near_groups(docs)
+    assert 40 < len({c for _, c in want.values()}) < 100
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    for block in (256, 16):
+        monkeypatch.setattr(lsh_forest, "BLOCK", block)
+        found = by_id(lsh_forest.near_duplicates(df))
+        assert all((found[i].component_id, found[i].kept) == (c, i == c) for i, (_, c) in want.items())
+
+
 def test_quality_figures_and_verdict(spark, cases):
     junk = " ".join(w + "***" for w in prose(200, 8).split())
     texts = CASES + [prose(30, 3) + " " + " ".join([prose(10, 4)] * 9), "\n".join(["same line here"] * 9), junk] + [prose(80, k) + ". " + prose(20, k + 1000) + "." for k in range(200)]
