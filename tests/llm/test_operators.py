@@ -122,6 +122,17 @@ def test_links_within_a_crowd_of_form_texts(spark, monkeypatch):
         assert all((found[i].component_id, found[i].kept) == (c, i == c) for i, (_, c) in want.items())
 
 
+def test_near_dedup_stage_takes_pairs_from_four_fifths(spark):
+    base = [prose(100, 200 + k) for k in range(30)]
+    texts = base + [edited(t, range(2, 2 + 5 * (k % 4), 5)) if k % 4 else edited(t, [40, 45, 50]) for k, t in enumerate(base)]
+    texts += [" ".join(t.split()[:88]) + f" tail{k} " + prose(6, 900 + k) for k, t in enumerate(base)]
+    docs = dict(enumerate(texts))
+    want = {i for i, (_, c) in brute.near_groups(docs, 80).items() if i == c}
+    assert want < {i for i, (_, c) in brute.near_groups(docs).items() if i == c}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.one_of_each(spark, df, SF).collect()} == want
+
+
 def test_quality_figures_and_verdict(spark, cases):
     junk = " ".join(w + "***" for w in prose(200, 8).split())
     texts = CASES + [prose(30, 3) + " " + " ".join([prose(10, 4)] * 9), "\n".join(["same line here"] * 9), junk] + [prose(80, k) + ". " + prose(20, k + 1000) + "." for k in range(200)]
