@@ -6,7 +6,9 @@ least, are joined by hash with the windows of the benchmark. What stood in the p
 
 A document holds an item if three of the item's windows (all, if it has fewer) stand in it and its slots are
 filled consistently: at least four fifths of the slot values of the item have one and the same counterpart in the
-document each time. `kind` is `exact` if the counterparts are the values themselves, else `template`.
+document each time. That is judged over the document as a whole and for each occurrence (windows at one distance from
+the item's); an occurrence alone counts if it holds all windows of the item or its values are those of the item, so parts of
+several variants in one document do not. `kind` is `exact` if the counterparts are the values themselves, else `template`.
 
 The benchmark's window hashes go to all tasks as one sorted array while there are at most `SENT_KEYS` of them (8 bytes
 each), so only windows that occur in the benchmark leave a task. A larger benchmark is joined by shuffling the documents'
@@ -141,7 +143,7 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") ->
 
 
 def hits(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, key and slots of the documents' windows whose key is known."""
+    """doc, copy (hash of the text), key, place and slots of the documents' windows whose key is known."""
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # at most four
     keys = known.select("key").distinct()
     few = keys.limit(SENT_KEYS + 1).count() <= SENT_KEYS
@@ -158,11 +160,13 @@ def hits(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "te
                     if wanted is not None:
                         found = wanted[np.minimum(np.searchsorted(wanted, hashed), len(wanted) - 1)] == hashed if len(wanted) else hashed < 0
                         at, hashed = at[found], hashed[found]
-                    yield _rows(part, template, at, hashed, size)
+                    rows = _rows(part, template, at, hashed, size)
+                    yield rows.append_column("copy", part.column(2).take(pa.array(template.text[at])))
 
     kind = docs.select(key).schema[0].dataType.simpleString()
-    slim = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, f"id {kind}, key bigint, at bigint, slots array<bigint>").select(F.col("id").alias("doc"), "key", "slots")
+    slim = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("copy"))
+    found = slim.mapInArrow(run, f"id {kind}, key bigint, at bigint, slots array<bigint>, copy bigint")
+    return found.select(F.col("id").alias("doc"), "copy", "key", F.col("at").alias("place"), "slots")
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
@@ -171,18 +175,30 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     known = stored(item_windows(items, item_key, item_text), "item-windows")
     total = known.groupBy(F.col("id").alias("item")).agg(F.count(F.lit(1)).alias("n_windows"))
     pairs = hits(docs, known, key, text).join(known.select("key", F.col("id").alias("item"), "at", F.col("slots").alias("own")), "key")
-    pairs = stored(pairs, "leak-windows")
-    found = pairs.groupBy("doc", "item").agg(F.countDistinct("at").alias("n_found"))
-    filled = pairs.select("doc", "item", F.explode(F.arrays_zip("own", "slots")).alias("s"))
-    filled = filled.groupBy("doc", "item", F.col("s.own").alias("own"), F.col("s.slots").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    filled = filled.groupBy("doc", "item", "own").agg(F.max(F.struct("n", "slot")).alias("most"), F.sum("n").alias("n"))
-    filled = filled.groupBy(F.col("doc").alias("d"), F.col("item").alias("i")).agg(
+    # an occurrence: windows at one distance from the item's, or, with words put in or left out, at distances that differ
+    # by less than half of its windows; two grids hold each such range whole in one of them
+    shift, half = F.col("place") - F.col("at"), F.greatest(F.ceil(F.col("n_windows") / 2), F.lit(1))
+    occurrences = F.array(
+        F.struct(F.lit(0).alias("way"), F.lit(0).cast("bigint").alias("copy"), F.lit(0).cast("bigint").alias("spot")),
+        F.struct(F.lit(1).alias("way"), "copy", shift.cast("bigint").alias("spot")),
+        *(F.struct(F.lit(way).alias("way"), "copy", F.floor((shift + more) / (2 * half)).cast("bigint").alias("spot"))
+          for way, more in ((2, F.lit(0)), (3, half))))
+    pairs = stored(pairs.join(total, "item").withColumn("seen", F.explode(occurrences)).drop("place", "copy"), "leak-windows")
+    found = pairs.groupBy("doc", "item", "seen", "n_windows").agg(F.countDistinct("at").alias("n_found"))
+    filled = pairs.select("doc", "item", "seen", F.explode(F.arrays_zip("own", "slots")).alias("s"))
+    filled = filled.groupBy("doc", "item", "seen", F.col("s.own").alias("own"), F.col("s.slots").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    filled = filled.groupBy("doc", "item", "seen", "own").agg(F.max(F.struct("n", "slot")).alias("most"), F.sum("n").alias("n"))
+    filled = filled.groupBy(F.col("doc").alias("d"), F.col("item").alias("i"), F.col("seen").alias("o")).agg(
         (F.sum("most.n") / F.sum("n")).alias("consistency"), F.min(F.col("most.slot") == F.col("own")).alias("same"))
-    judged = found.join(filled, found["doc"].eqNullSafe(F.col("d")) & (found["item"] == F.col("i")), "left").join(total, "item")
-    judged = judged.withColumn("consistency", F.coalesce("consistency", F.lit(1.0))).filter(
-        (F.col("n_found") >= F.least(F.lit(NEEDED), F.col("n_windows"))) & (F.col("consistency") >= CONSISTENT))
-    kind = F.when(F.coalesce("same", F.lit(True)), "exact").otherwise("template")
-    return judged.select(F.col("doc").alias(key), F.col("item").alias(item_key), "n_windows", "n_found", "consistency", kind.alias("kind"))
+    same_place = found["doc"].eqNullSafe(F.col("d")) & (found["item"] == F.col("i")) & (found["seen"] == F.col("o"))
+    judged = found.join(filled, same_place, "left").withColumns(
+        {"consistency": F.coalesce("consistency", F.lit(1.0)), "same": F.coalesce("same", F.lit(True))})
+    whole = (F.col("seen.way") == 0) | F.col("same") | (F.col("n_found") == F.col("n_windows"))
+    judged = judged.filter(whole & (F.col("n_found") >= F.least(F.lit(NEEDED), F.col("n_windows"))) & (F.col("consistency") >= CONSISTENT))
+    best = judged.groupBy("doc", "item", "n_windows").agg(F.max(F.struct("n_found", "same", "consistency")).alias("best"))
+    kind = F.when(F.col("best.same"), "exact").otherwise("template")
+    return best.select(F.col("doc").alias(key), F.col("item").alias(item_key), "n_windows", F.col("best.n_found").alias("n_found"),
+                       F.col("best.consistency").alias("consistency"), kind.alias("kind"))
 
 
 def remove_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",

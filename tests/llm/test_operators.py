@@ -184,6 +184,19 @@ def test_template_leaks(spark, cases):
     assert template_leaks.remove_leaks(cases, items).count() == cases.count()
 
 
+def test_leaks_of_an_item_that_a_document_holds_more_than_once(spark):
+    text = "Once Tom has 5 apples and gives 2 kg of them to Mary before lunch. How many apples does Tom have left now?"
+    other = text.replace("Tom", "Sam").replace("5", "7").replace("2", "3").replace("Mary", "Lucy")
+    third = text.replace("Tom", "Eve").replace("5", "8").replace("2", "9").replace("Mary", "Ann")
+    longer = text.replace("many apples", "many red apples")
+    items = spark.createDataFrame([(1, text)], "item_id int, text string")
+    rows = [(1, f"{text} {other}"), (2, f"{other} and also {third}"), (3, " ".join([text, other, third] * 20)), (4, f"{other} {longer}"),
+            (5, text), (6, other), (7, longer), (8, text), (8, other)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r.kind for r in template_leaks.leaks(docs, items).collect()}
+    assert got == {1: "exact", 2: "template", 3: "exact", 4: "template", 5: "exact", 6: "template", 7: "exact", 8: "exact"}
+
+
 def test_large_benchmarks_are_joined_by_shuffle(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     want = sorted(map(tuple, template_leaks.leaks(docs, items).collect()))
