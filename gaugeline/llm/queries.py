@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
-    byte_bpe, disclosure, factor_quality, lang_crf, line_blocks, line_spread, lsh_forest, quality_rules, template_leaks, token_index)
+    byte_bpe, disclosure, factor_quality, lang_crf, line_blocks, line_spread, lsh_forest, periodic_runs, quality_rules, template_leaks,
+    token_index)
 from gaugeline.llm.tables import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,6 +69,31 @@ def op10_factor_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; with h = crc32(doc_id) and g = h / 10, every text of h % 10 = 0 repeats itself from word g % n on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"),
+                        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))).alias("words"))
+    n = F.size("words")
+    begun = words.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int")))
+    begun = begun.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.transform(F.sequence("a", n - 1), lambda i: F.get("words", F.col("a") + (i - F.col("a")) % F.col("p")))
+    repeated = F.concat_ws(" ", F.slice("words", F.lit(1), F.col("a")), tail)
+    return begun.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_repeats(load(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.withColumn("longest", longest)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"), F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_template_leaks": op1_template_leaks,
     "op2_byte_bpe": op2_byte_bpe,
@@ -79,6 +105,7 @@ QUERIES = {
     "op8_token_index": op8_token_index,
     "op9_weak_rules": op9_weak_rules,
     "op10_factor_quality": op10_factor_quality,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
