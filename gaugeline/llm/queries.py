@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
-    byte_bpe, disclosure, factor_quality, lang_crf, line_blocks, line_spread, lsh_forest, periodic_runs, quality_rules, template_leaks,
-    token_index)
-from gaugeline.llm.tables import load
+    byte_bpe, disclosure, factor_quality, lang_crf, line_blocks, line_spread, lsh_forest, periodic_runs, prefix_trie, quality_rules,
+    template_leaks, token_index)
+from gaugeline.llm.tables import load, stored
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -69,6 +69,26 @@ def op10_factor_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """conv_id and turns (digest and bytes of each): the first h turns of conversation c - c % 5, then c's own after its first h,
+    h = crc32(c) % 9. Turns of one conversation stand by number (null first), those of one number by digest."""
+    role, text = (F.coalesce(c, F.lit("")) for c in ("role", "text"))
+    turn = F.struct("turn", prefix_trie.element_digest(role, text).alias("digest"), F.octet_length(text).cast("long").alias("weight"))
+    own = conversations.filter("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("own"))
+    own = stored(own, "conversations")
+    heads = own.filter("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.slice("own", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    both = own.select("conv_id", "own", h.alias("h"), F.expr("conv_id - conv_id % 5").alias("base")).join(heads, "base", "left")
+    head = F.slice(F.coalesce("head", F.expr("slice(own, 1, 0)")), F.lit(1), F.col("h"))
+    return both.select("conv_id", F.concat(head, F.slice("own", F.col("h") + 1, F.greatest(F.size("own"), F.lit(1)))).alias("turns"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.prefix_trie(rebuilt(load(spark, sf_dir, "conversations")), "conv_id", "turns")
+    return nodes.select(F.col("key").alias("conv_id"), "depth", F.col("parent_key").alias("parent_conv_id"), F.col("n_members").alias("n_convs"),
+                        "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and text; with h = crc32(doc_id) and g = h / 10, every text of h % 10 = 0 repeats itself from word g % n on."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -105,9 +125,11 @@ QUERIES = {
     "op8_token_index": op8_token_index,
     "op9_weak_rules": op9_weak_rules,
     "op10_factor_quality": op10_factor_quality,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op4_line_spread": line_spread.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
