@@ -132,9 +132,9 @@ def forest(keys: list[list[int]], paths: list[np.ndarray], weights: list[np.ndar
     return nodes, tips
 
 
-def _pieces(keys: list[int]) -> list[str]:
-    """Decimal keys, comma-joined, in pieces of PIECE_KEYS that commas join again."""
-    return [",".join(map(str, keys[i: i + PIECE_KEYS])) for i in range(0, len(keys), PIECE_KEYS)]
+def _pieces(keys: list[int], size: int) -> list[str]:
+    """Decimal keys, comma-joined, in pieces of `size` keys that commas join again."""
+    return [",".join(map(str, keys[i: i + size])) for i in range(0, len(keys), size)]
 
 
 def _spine(path: np.ndarray) -> list[bytes]:
@@ -151,7 +151,7 @@ def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _NODE)], schema=_NODE)
 
 
-def _partition_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _partition_nodes(batches: Iterator[pa.RecordBatch], piece_keys: int) -> Iterator[pa.RecordBatch]:
     """All nodes of a sorted partition, those of its first and last sequence left open."""
     keys: list[list[int]] = []
     paths: list[np.ndarray] = []
@@ -185,7 +185,7 @@ def _partition_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     rows = []
     for i, up in enumerate(nodes.parent):
         if i in digests:
-            rows += [(PIECE, part, None, None, digests[i], None, None, None, seq, *[None] * 5, piece) for seq, piece in enumerate(_pieces(ended.get(i, [])))]
+            rows += [(PIECE, part, None, None, digests[i], None, None, None, seq, *[None] * 5, piece) for seq, piece in enumerate(_pieces(ended.get(i, []), piece_keys))]
             continue
         leaves, saved = nodes.leaves[i] or 1, nodes.saved[i] + (nodes.members[i] - 1) * nodes.weight[i]
         if up in digests:
@@ -257,7 +257,7 @@ def _ends(pieces: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "digest binary, ends_sha256 string")
 
 
-def prefix_trie(sequences: DataFrame, key: str = "key", elements: str = "elements") -> DataFrame:
+def prefix_trie(sequences: DataFrame, key: str = "key", elements: str = "elements", piece_keys: int = PIECE_KEYS) -> DataFrame:
     """All nodes: key (smallest member), depth, parent_key (of the parent; null for the root), weight (of the last element), n_members,
     n_children, n_leaves (childless nodes in the subtree), saved (summed over the subtree: (n_members - 1) * weight), ends_sha256
     (of the decimal keys of the sequences that end here, ascending, comma-joined).
@@ -268,7 +268,7 @@ def prefix_trie(sequences: DataFrame, key: str = "key", elements: str = "element
         F.col(key).cast("long").alias("key"), F.coalesce(F.col(f"{elements}.digest"), F.array().cast("array<binary>")).alias("path"),
         F.coalesce(F.col(f"{elements}.weight"), F.array().cast("array<bigint>")).alias("weights")), "sequences")
     dealt = given.repartitionByRange("path", "key").sortWithinPartitions("path", "key").select("key", "path", "weights")
-    forests = stored(dealt.mapInArrow(_partition_nodes, _NODE_DDL), "forests")
+    forests = stored(dealt.mapInArrow(lambda batches: _partition_nodes(batches, piece_keys), _NODE_DDL), "forests")
     opened, final = forests.filter(F.col("kind") == OPEN), forests.filter(F.col("kind") == FINAL)
     parts = (opened.agg(F.max("part")).first()[0] or 0) + 1
     size = 1

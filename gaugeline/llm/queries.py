@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm import (
     byte_bpe, disclosure, factor_quality, lang_crf, line_blocks, line_spread, lsh_forest, periodic_runs, prefix_trie, quality_rules,
-    template_leaks, token_index)
+    template_leaks, token_index, warc)
 from gaugeline.llm.tables import load, stored
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +69,17 @@ def op10_factor_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    files = warc.write_archives(warc.with_revisits(pages))
+    captures = warc.assemble(stored(warc.read_records(files, payloads=False), "records"))
+    return captures.select(
+        warc.key_of("key").cast(kind).alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
+        warc.key_of("refers-to").cast(kind).alias("refers_to"))
+
+
 def rebuilt(conversations: DataFrame) -> DataFrame:
     """conv_id and turns (digest and bytes of each): the first h turns of conversation c - c % 5, then c's own after its first h,
     h = crc32(c) % 9. Turns of one conversation stand by number (null first), those of one number by digest."""
@@ -125,11 +136,13 @@ QUERIES = {
     "op8_token_index": op8_token_index,
     "op9_weak_rules": op9_weak_rules,
     "op10_factor_quality": op10_factor_quality,
+    "op11_warc_captures": op11_warc_captures,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op4_line_spread": line_spread.SQL,
+    "op11_warc_captures": warc.SQL,
     "op12_prefix_trie": prefix_trie.SQL,
 }

@@ -70,10 +70,9 @@ def test_small_and_long_tries(spark, sequences):
     assert found(prefix_trie.prefix_trie(table(spark, sequences))) == plain_trie(sequences)
 
 
-def test_keys_of_a_common_sequence_are_digested_in_order(spark, monkeypatch):
-    monkeypatch.setattr(prefix_trie, "PIECE_KEYS", 3)
+def test_keys_of_a_common_sequence_are_digested_in_order(spark):
     sequences = [(k * 37 % 1009, [("a", 1)]) for k in range(300)]
-    assert found(prefix_trie.prefix_trie(table(spark, sequences).repartition(5))) == plain_trie(sequences)
+    assert found(prefix_trie.prefix_trie(table(spark, sequences).repartition(5), piece_keys=3)) == plain_trie(sequences)
 
 
 def test_left_out_keys_and_null_arrays(spark):
