@@ -7,7 +7,8 @@ A document is kept where its posterior probability of being good is at least one
 
 The votes of a corpus are counted by pattern. There are at most 3^10 patterns whatever the input, so the counts can be
 fitted in the driver; the posterior is a sum of one logarithm per vote and is computed in Spark. All columns are built-in
-SQL expressions, and each document is handled in its own row, without a shuffle of texts.
+SQL expressions, and each document is handled in its own row, without a shuffle of texts. Figures and votes are stored
+once, a few dozen bytes a row beside the columns to keep; fit and verdict read them from there.
 
 Cases: null and empty texts have no words and fail the base; very long texts are handled whole; repeated rows count as
 often as they occur and get the same verdict; an empty table gives an empty result (and the start values as model);
@@ -22,6 +23,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.llm.tables import stored
+
 WHITE = " \t\n\x0b\x0c\r"
 WINDOW = 8
 MIN_WORDS = 20
@@ -153,22 +156,33 @@ def fit(voted: DataFrame, rounds: int = 50, trust: float = 20.0) -> Model:
     return model
 
 
+def _voted(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The columns named in `keep`, base figures, the base's verdict and the ten votes, stored: texts are looked at once, and both
+    the fit and the verdict read the figures."""
+    figures = with_stats(df, text)
+    return stored(figures.select(*keep, *(_c(s) for s in STATS), base_failed().alias(_P + "base_failed"),
+                                 *(v.alias(_P + "vote_" + k) for k, v in votes().items())), "votes")
+
+
+def _vote_columns() -> dict[str, Column]:
+    return {k: _c("vote_" + k) for k in RULES}
+
+
+def _p_good(voted: DataFrame, model: Model | None) -> Column:
+    model = model or fit(voted.select(*(v.alias(k) for k, v in _vote_columns().items())))
+    return model.posterior(_vote_columns())
+
+
 def judge(df: DataFrame, model: Model | None = None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns named in `keep` (all if none), the base figures, base_failed, p_good and kept."""
     keep = df.columns if keep is None else keep
-    figures = with_stats(df.select(*{*keep, text}), text)
-    if model is None:
-        model = fit(figures.select(*(v.alias(k) for k, v in votes().items())))
-    p_good = model.posterior(votes())
-    return figures.select(*keep, *(_c(s).alias(s) for s in STATS), base_failed().alias("base_failed"), p_good.alias("p_good"),
-                          (~base_failed() & (p_good >= KEPT_FROM)).alias("kept"))
+    voted = _voted(df.select(*{*keep, text}), text, keep)
+    p_good = _p_good(voted, model)
+    return voted.select(*keep, *(_c(s).alias(s) for s in STATS), _c("base_failed").alias("base_failed"), p_good.alias("p_good"),
+                        (~_c("base_failed") & (p_good >= KEPT_FROM)).alias("kept"))
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of documents that pass the base and the vote, with the columns they had."""
-    figures = with_stats(df, text)
-    model = fit(figures.select(*(v.alias(k) for k, v in votes().items())))
-    kept = ~base_failed() & (model.posterior(votes()) >= KEPT_FROM)
-    # a filter would move below the figures and repeat each of them wherever the condition uses it; an explode stays
-    once = F.explode(F.when(kept, F.array(F.lit(True)))).alias(_P + "kept")
-    return figures.select(*df.columns, once).select(*df.columns)
+    voted = _voted(df, text, df.columns)
+    return voted.filter(~_c("base_failed") & (_p_good(voted, None) >= KEPT_FROM)).select(*df.columns)
