@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def landing_summary(log: DataFrame, by: str = "entity") -> DataFrame:
-    """Files, samples and errors per entity, and one row for all, marked by ``is_total``.
+def landing_summary(log: DataFrame, by: str = "entity", mark_total: bool = False) -> DataFrame:
+    """Files, samples and errors per entity, and one row for all; ``mark_total`` adds ``is_total``.
 
     ``log`` has a row per fetch: the entity, ``status`` ('success' or 'error') and ``samples``.
     """
@@ -17,7 +17,7 @@ def landing_summary(log: DataFrame, by: str = "entity") -> DataFrame:
         F.count_if(ok).alias("files"),
         F.coalesce(F.sum(F.when(ok, F.col("samples"))), F.lit(0)).alias("samples"),
         F.count_if(~ok).alias("errors"),
-        (F.grouping(by) == 1).alias("is_total"),
+        *([(F.grouping(by) == 1).alias("is_total")] if mark_total else []),
     )
 
 

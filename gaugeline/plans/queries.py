@@ -465,6 +465,66 @@ def drift_column(spark, sf_dir):
     )
 
 
+SAMPLES_SQL = """
+    k AS (
+        SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_id, event_type, value,
+               CAST(props->>'$.k' AS INTEGER) AS level,
+               row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS i
+        FROM events
+    )
+"""
+
+
+def _sampled_envelopes(spark, sf_dir) -> DataFrame:
+    """A JSON envelope per user and day: its samples in order, some with a text for a number or with a note, and a map of limits."""
+    events = I.table(spark, sf_dir, "events").select("user_id", F.to_date("ts").cast("string").alias("day"), F.struct(
+        "ts", "event_id", "event_type", "value", I.level().alias("level")).alias("e"))
+    days = events.groupBy("user_id", "day").agg(F.array_sort(F.collect_list("e")).alias("e"))
+    first = F.col("e")[0]
+    samples = F.transform("e", lambda e: F.concat(
+        F.lit('{"id":'), e["event_id"], F.lit(',"value":'), F.when(e["level"] < 10, '"n/a"').otherwise(e["value"].cast("string")),
+        F.when(e["level"] >= 90, F.concat(F.lit(',"note":"x'), e["event_id"], F.lit('"'))).otherwise(""), F.lit("}")))
+    limit = F.concat(F.lit('"'), first["event_type"], F.lit('":{"unit":"W","hi":'),
+                     F.when(first["level"] < 50, '"low"').otherwise(first["level"].cast("string")), F.lit("}"))
+    return days.select(F.concat(
+        F.lit('{"user_id":'), "user_id", F.lit(',"day":"'), "day", F.lit('","samples":['), F.array_join(samples, ","),
+        F.lit('],"limits":{'), limit, F.lit("}}")).alias("value"))
+
+
+SAMPLED = "user_id bigint, day string, samples array<struct<id: bigint, value: double>>, limits map<string, struct<hi: int>>"
+
+
+@query(f"""
+WITH {SAMPLES_SQL}
+SELECT user_id, day, 'samples[' || i || '].value' AS path, 'n/a' AS raw FROM k WHERE level < 10
+UNION ALL
+SELECT user_id, day, 'samples[]', '[' || string_agg('{{"note":"x' || event_id || '"}}', ',' ORDER BY i) || ']'
+FROM k WHERE level >= 90 GROUP BY ALL
+UNION ALL
+SELECT user_id, day, 'limits.' || event_type || '.hi', 'low' FROM k WHERE i = 0 AND level < 50
+UNION ALL
+SELECT user_id, day, 'limits.' || event_type || '.unit', 'W' FROM k WHERE i = 0
+""")
+def drift_nested(spark, sf_dir):
+    """What is left over within the samples of an array and the values of a map."""
+    parsed = envelopes.with_drift_column(_sampled_envelopes(spark, sf_dir), SAMPLED)
+    return parsed.select("user_id", "day", F.explode(F.from_json("_rescued_data", "map<string, string>")).alias("path", "raw"))
+
+
+@query(f"""
+WITH {SAMPLES_SQL}
+SELECT user_id, day, event_id AS id, CASE WHEN level >= 10 THEN value END AS value,
+       first_value(event_type) OVER w AS kind, CASE WHEN first_value(level) OVER w >= 50 THEN first_value(level) OVER w END AS hi
+FROM k WINDOW w AS (PARTITION BY user_id, day ORDER BY i)
+""")
+def drift_typed(spark, sf_dir):
+    """What fits the declared types of the same envelopes."""
+    parsed = envelopes.with_drift_column(_sampled_envelopes(spark, sf_dir), SAMPLED)
+    limits = F.map_entries("limits")[0]
+    return parsed.select("user_id", "day", F.explode("samples").alias("s"), limits["key"].alias("kind"), limits["value"]["hi"].alias("hi")).select(
+        "user_id", "day", "s.id", "s.value", "kind", "hi")
+
+
 LOG_SQL = "SELECT event_type AS entity, CAST(props->>'$.k' AS INTEGER) AS k FROM events"
 
 
@@ -479,7 +539,7 @@ def landing_summary(spark, sf_dir):
         F.col("event_type").alias("entity"), I.level().alias("samples"),
         F.when(I.level() >= 10, "success").otherwise("error").alias("status"),
     )
-    return landing.landing_summary(log)
+    return landing.landing_summary(log, mark_total=True)
 
 
 @query(f"SELECT entity, k AS samples, 'error' AS status FROM ({LOG_SQL}) WHERE k < 10")

@@ -6,12 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DecimalType, FractionalType, IntegralType, MapType, StringType, StructType)
 
 from ..schemas import struct
 
-TEXT_MAP = "map<string, string>"
-
 
 def scan_envelopes(
     spark: SparkSession,
@@ -56,45 +55,92 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
-def _others(raw: Column, known: Sequence[str]) -> Column:
-    """Whether an object has names that are not declared; cheap, and mostly false."""
-    return F.size(F.array_except(F.map_keys(raw), F.array(*map(F.lit, known)))) > 0
+def _at(path: Sequence[str]) -> str:
+    return "$" + "".join(f'["{name}"]' for name in path)
+
+
+def _text(v: Column, path: Sequence[str] = ()) -> Column:
+    """A value as text: strings as they are, all else as JSON."""
+    return F.try_variant_get(v, _at(path), "string")
+
 
+def _object(v: Column, path: Sequence[str] = (), values: str = "variant") -> Column:
+    """The fields of an object, NULL for anything else."""
+    return F.try_variant_get(v, _at(path), f"map<string, {values}>")
 
-def _unknown(raw: Column, known: Sequence[str]) -> Column:
-    return F.map_filter(raw, lambda k, _: ~k.isin(*known))
 
+def _elements(v: Column, path: Sequence[str] = ()) -> Column:
+    return F.try_variant_get(v, _at(path), "array<variant>")
 
-def _levels(schema: StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], StructType]]:
-    """The declared structs, outermost first, each with the way to it."""
-    found = [(path, schema)]
-    for field in schema.fields:
-        if isinstance(field.dataType, StructType):
-            found += _levels(field.dataType, (*path, field.name))
-    return found
 
+def _typed(v: Column, path: tuple[str, ...], kind: DataType) -> Column:
+    """The value at a path in its declared type, NULL where it is of another JSON type or out of range."""
+    if isinstance(kind, StructType):
+        fields = [_typed(v, (*path, f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(_object(v, path).isNotNull(), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(_elements(v, path), lambda e: _typed(e, (), kind.elementType))
+    if isinstance(kind, MapType):
+        return F.transform_values(_object(v, path), lambda _, x: _typed(x, (), kind.valueType))
+    if isinstance(kind, StringType):
+        return _text(v, path)
+    value = F.try_variant_get(v, _at(path), kind.simpleString())
+    json_type = F.schema_of_variant(F.try_variant_get(v, _at(path), "variant"))
+    if isinstance(kind, IntegralType):
+        return F.when((json_type == "BIGINT") | json_type.rlike(r"^DECIMAL\(\d+,0\)$"), value)
+    if isinstance(kind, BooleanType):
+        return F.when(json_type == "BOOLEAN", value)
+    if isinstance(kind, (FractionalType, DecimalType)):
+        return F.when(~json_type.isin("STRING", "BOOLEAN"), value)
+    return value
 
-def _found_at(raw: Column, typed: Column, schema: StructType, prefix: str) -> list[Column]:
-    """What one struct does not hold, as maps of path to raw text; NULL where there is nothing."""
-    known = schema.names
-    found = [F.when(
-        _others(raw, known),
-        F.transform_keys(_unknown(raw, known), lambda k, _: F.concat(F.lit(prefix), k)),
-    )]
-    for field in schema.fields:
-        text, path, kind = raw[field.name], prefix + field.name, field.dataType
-        if isinstance(kind, StructType):
-            continue
-        found.append(F.when(text.isNotNull() & typed[field.name].isNull(), F.create_map(F.lit(path), text)))
-        if isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
-            names = kind.elementType.names
-            elements = F.from_json(text, f"array<{TEXT_MAP}>")
-            extras = F.filter(F.transform(elements, lambda e: _unknown(e, names)), lambda m: F.size(m) > 0)
-            found.append(F.when(
-                F.exists(elements, lambda e: _others(e, names)),
-                F.create_map(F.lit(path + "[]"), F.to_json(extras)),
-            ))
-    return found
+
+def _entry(name: Column, raw: Column) -> Column:
+    return F.struct(name.alias("path"), raw.alias("raw"))
+
+
+def _left_over(v: Column, path: tuple[str, ...], kind: DataType, name: Column, unknown: bool = True) -> list[Column]:
+    """Arrays of (path, raw text) of all that the declared type does not hold, at any depth; NULL arrays are empty.
+
+    ``name`` is the way to the value; ``unknown=False`` leaves out the unknown fields of this very object.
+    """
+    found: list[Column] = []
+    if isinstance(kind, StructType):
+        fields = _object(v, path)
+        fits = fields.isNotNull()
+        if unknown:
+            others = F.filter(F.map_entries(fields), lambda e: ~e["key"].isin(kind.names))
+            found.append(F.transform(others, lambda e: _entry(F.concat(name, F.lit("."), e["key"]), _text(e["value"]))))
+        for f in kind.fields:
+            found += _left_over(v, (*path, f.name), f.dataType, F.concat(name, F.lit("." + f.name)))
+    elif isinstance(kind, ArrayType):
+        elements, inner = _elements(v, path), kind.elementType
+        fits = elements.isNotNull()
+        if isinstance(inner, StructType):
+            extras = F.filter(
+                F.transform(elements, lambda e: F.map_filter(_object(e, (), "string"), lambda k, _: ~k.isin(inner.names))), lambda m: F.size(m) > 0)
+            found.append(F.transform(F.filter(F.array(extras), lambda x: F.size(x) > 0), lambda x: _entry(F.concat(name, F.lit("[]")), F.to_json(x))))
+        found.append(F.flatten(F.transform(elements, lambda e, i: _all(_left_over(
+            e, (), inner, F.concat(name, F.lit("["), i.cast("string"), F.lit("]")), unknown=False)))))
+    elif isinstance(kind, MapType):
+        fields = _object(v, path)
+        fits = fields.isNotNull()
+        found.append(F.flatten(F.transform(F.map_entries(fields), lambda e: _all(
+            _left_over(e["value"], (), kind.valueType, F.concat(name, F.lit("."), e["key"]))))))
+    elif isinstance(kind, StringType):
+        return []  # holds anything
+    else:
+        fits = _typed(v, path, kind).isNotNull()
+    # A JSON null has no text; it fits any type.
+    return [*found, F.when(~fits & _text(v, path).isNotNull(), F.array(_entry(name, _text(v, path))))]
+
+
+_ENTRIES = "array<struct<path: string, raw: string>>"
+
+
+def _all(parts: Sequence[Column]) -> Column:
+    nothing = F.array().cast(_ENTRIES)
+    return F.concat(*[F.coalesce(p, nothing) for p in parts]) if parts else nothing
 
 
 def with_drift_column(
@@ -104,38 +150,36 @@ def with_drift_column(
     value: str = "value",
     out: str = "_rescued_data",
 ) -> DataFrame:
-    """Parse JSON text and keep what the declared schema does not hold.
+    """Parse JSON text once, and keep what the declared schema does not hold, at any depth.
+
+    ``out`` is a JSON object of path to raw text, NULL when nothing is left over. It holds
 
-    ``out`` is a JSON object of path to raw text: unknown fields of every declared struct
-    and of the elements of declared arrays, values that did not fit the declared type, and
-    the whole text when it is not JSON. It is NULL when nothing is left over. Paths in
-    ``allowed`` are expected extras and left out.
+    - unknown fields of objects: ``a.b``; within a map also of its values: ``a.key.b``,
+    - unknown fields of the elements of an array, together: ``a[]`` is a list of objects,
+    - values of another type, also within maps and elements: ``a.b``, ``a.key.b``, ``a[3].b``; they are NULL in their column,
+    - the whole text when it is no JSON object (or names a field twice): ``_corrupt``.
+
+    Numbers do not pass for text's sake: '1' is no number, 1.5 no whole one; a text column takes anything. Paths in
+    ``allowed`` are expected extras and left out; ``[]`` there stands for any element.
     """
     schema = struct(schema) if isinstance(schema, str) else schema
-    nothing = F.from_json(F.lit("{}"), TEXT_MAP)
-    parsed = text_df.withColumn("_doc", F.from_json(value, schema))
-    parts: list[Column] = []
-    levels = {}
-    for i, (path, level) in enumerate(_levels(schema)):
-        # Every object is parsed once, into a column of its own.
-        text = F.col(value) if not path else F.col(levels[path[:-1]])[path[-1]]
-        levels[path] = f"_raw_{i}"
-        parsed = parsed.withColumn(levels[path], F.from_json(text, TEXT_MAP))
-        typed = F.col(".".join(["_doc", *path]))
-        parts += _found_at(F.col(levels[path]), typed, level, "".join(f"{p}." for p in path))
-    drift = F.when(
-        F.coalesce(*parts).isNotNull(), F.map_concat(*[F.coalesce(p, nothing) for p in parts])
-    )
-    if allowed:
-        drift = F.map_filter(drift, lambda k, _: ~k.isin(*allowed))
-    broken = F.col(value).isNotNull() & F.col("_raw_0").isNull()
-    drift = F.when(broken, F.create_map(F.lit("_corrupt"), F.col(value))).otherwise(drift)
+    parsed = text_df.withColumn("_doc", F.try_parse_json(value))
+    doc = F.col("_doc")
+    fields = _object(doc)
+    others = F.filter(F.map_entries(fields), lambda e: ~e["key"].isin(schema.names))
+    parts = [F.transform(others, lambda e: _entry(e["key"], _text(e["value"])))]
+    for f in schema.fields:
+        parts += _left_over(doc, (f.name,), f.dataType, F.lit(f.name))
+    broken = F.col(value).isNotNull() & fields.isNull()
+    left = F.when(broken, F.array(_entry(F.lit("_corrupt"), F.col(value)))).otherwise(_all(parts))
     keep = [c for c in text_df.columns if c != value]
-    return (
-        parsed.withColumn("_drift", drift)
-        .withColumn(out, F.when(F.size("_drift") > 0, F.to_json("_drift")))
-        .select(*[F.col("_doc")[n].alias(n) for n in schema.names], *keep, out)
-    )
+    found = parsed.select(*[_typed(doc, (n,), schema[n].dataType).alias(n) for n in schema.names], *keep, left.alias("_left"))
+    entries = F.col("_left")
+    if allowed:
+        entries = F.filter(entries, lambda e: ~F.regexp_replace(e["path"], r"\[\d+\]", "[]").isin(*allowed))
+    # One field name may spell out the way to another: the first entry of a path stays.
+    once = F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["path"]), e["path"]) == i + 1)
+    return found.withColumn(out, F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(once)))).drop("_left")
 
 
 def write_envelopes(df: DataFrame, root: str, entity: str, kind: str, day: str) -> None:

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from gaugeline.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return check_oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert name in entry.oracle_sql()
     ok, note = check_oracle.compare(spark, con, name, SF)

@@ -4,14 +4,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from gaugeline.plans import inputs
+from gaugeline.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 STREAMED = {"counter_delta_stream", "counter_delta_incremental", "pivot_wide_stream", "pivot_wide_incremental",
             "sensor_fact_stream", "stream_health_refresh", "envelope_roundtrip", "list_landed", "history_append", "serving_stream",
             "materialized_view"}
-BATCH = sorted(set(entry.queries()) - STREAMED)
+BATCH = sorted(set(QUERIES) - STREAMED)
 
 
 def plan_of(df):
@@ -20,25 +20,25 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_no_cross_join_no_global_window(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert not re.search(r"InPandas|InArrow|EvalPython", plan)
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
     assert not re.search(r"Window[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan)
 
 
 def test_window_filter_reaches_the_scan(spark):
-    plan = plan_of(entry.queries()["hourly_metrics"](spark, SF))
+    plan = plan_of(QUERIES["hourly_metrics"](spark, SF))
     assert "GreaterThanOrEqual(ts,2024-01-18" in plan and "LessThan(ts,2024-01-19" in plan
 
 
 def test_scans_read_only_what_is_needed(spark):
-    plan = plan_of(entry.queries()["latest_record"](spark, SF))
+    plan = plan_of(QUERIES["latest_record"](spark, SF))
     assert not any("props" in s or "value" in s for s in re.findall(r"ReadSchema: (\S+)", plan))
 
 
 def test_attributes_are_not_parsed_on_fact_rows(spark):
     """Filters on the parsed attributes stay above the generator."""
-    plan = plan_of(entry.queries()["latest_record"](spark, SF))
+    plan = plan_of(QUERIES["latest_record"](spark, SF))
     below_scan_filter = re.findall(r"Filter \([^\n]*from_json", plan)
     assert not below_scan_filter
 

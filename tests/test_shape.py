@@ -101,6 +101,49 @@ def test_drift(spark, tmp_path):
     assert [r["_rescued_data"] for r in allowed.filter("_source_file LIKE '%b.json'").collect()] == [None]
 
 
+DEEP = """a int, s string, d double, b boolean, t timestamp, list array<int>, rows array<struct<x: int, tags: array<string>, m: map<string, int>>>,
+    by map<string, struct<v: double, inner: struct<w: int>>>, o struct<p: struct<q: int>>"""
+
+DEEP_CASES = [
+    ('{"a": 1, "s": 2, "d": 3, "b": true, "list": [1, null], "rows": [], "by": {}, "o": null}', None),
+    ('{"a": "1", "d": "2.5", "b": 1, "t": "no time", "s": {"any": [1]}}', {"a": "1", "d": "2.5", "b": "1", "t": "no time"}),
+    ('{"a": 1.5, "list": 7, "rows": {"x": 1}, "by": [1], "o": "text"}',
+     {"a": "1.5", "list": "7", "rows": '{"x":1}', "by": "[1]", "o": "text"}),
+    ('{"a": 99999999999, "list": [1, "x", 2.5, null]}', {"a": "99999999999", "list[1]": "x", "list[2]": "2.5"}),
+    ('{"rows": [{"x": 1}, {"x": "y", "u": 5, "m": {"k": "v", "n": 1}}, 3, {"u": {"deep": 1}}]}',
+     {"rows[]": '[{"u":"5"},{"u":"{\\"deep\\":1}"}]', "rows[1].x": "y", "rows[1].m.k": "v", "rows[2]": "3"}),
+    ('{"by": {"k": {"v": "bad", "z": 1, "inner": {"w": "w", "y": true}}, "l": 4, "ok": {"v": 1}}}',
+     {"by.k.v": "bad", "by.k.z": "1", "by.k.inner.w": "w", "by.k.inner.y": "true", "by.l": "4"}),
+    ('{"o": {"p": {"q": {}, "r": [1, {"s": 2}]}, "extra": null}}', {"o.p.q": "{}", "o.p.r": '[1,{"s":2}]', "o.extra": None}),
+    ('{"o.p": 1, "o": {"p": 2}}', {"o.p": "1"}),
+    ("[1]", {"_corrupt": "[1]"}), ("", {"_corrupt": ""}), ("null", {"_corrupt": "null"}), ('{"a": 1, "a": 2}', {"_corrupt": '{"a": 1, "a": 2}'}),
+    (None, None),
+]
+
+
+def test_drift_at_any_depth(spark):
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(DEEP_CASES)], "n int, value string")
+    got = {r["n"]: r for r in envelopes.with_drift_column(df, DEEP).collect()}
+    for i, (text, left) in enumerate(DEEP_CASES):
+        found = got[i]["_rescued_data"]
+        assert (found and json.loads(found)) == left, text
+    first, rows_, by = got[0], got[4], got[5]
+    assert (first["a"], first["s"], first["d"], first["b"], first["list"], first["o"]) == (1, "2", 3.0, True, [1, None], None)
+    assert [r and r["x"] for r in rows_["rows"]] == [1, None, None, None] and rows_["rows"][1]["m"] == {"k": None, "n": 1}
+    assert by["by"]["k"]["v"] is None and by["by"]["l"] is None and by["by"]["ok"]["v"] == 1.0
+
+
+def test_drift_allows_paths_of_any_element(spark):
+    df = spark.createDataFrame([('{"list": [1, "x", "y"], "rows": [{"u": 1}], "a": "z"}',)], "value string")
+    left = envelopes.with_drift_column(df, DEEP, allowed=["list[]", "rows[]"]).first()["_rescued_data"]
+    assert json.loads(left) == {"a": "z"}
+
+
+def test_drift_parses_once(spark):
+    df = envelopes.with_drift_column(spark.createDataFrame([("{}",)], "value string"), DEEP)
+    assert df._jdf.queryExecution().optimizedPlan().toString().lower().count("parse_json") <= 1
+
+
 def test_write_never_overwrites_and_list(spark, rows, tmp_path):
     df = spark.createDataFrame([("g1", "20240101", 1), ("g2", "20240102", 2)], "e string, d string, n int")
     root = str(tmp_path / "land")
