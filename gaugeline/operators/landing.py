@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def landing_summary(log: DataFrame, by: str = "entity", mark_total: bool = False) -> DataFrame:
-    """Files, samples and errors per entity, and one row for all; ``mark_total`` adds ``is_total``.
+def landing_summary(log: DataFrame, by: str = "entity", mark_total: bool = True) -> DataFrame:
+    """Files, samples and errors per entity, and one row for all, marked by ``is_total`` unless ``mark_total`` is off.
 
     ``log`` has a row per fetch: the entity, ``status`` ('success' or 'error') and ``samples``.
     """
