@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import logging
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_lit, utc
@@ -109,8 +113,8 @@ def connection_predicate(config: DataFrame) -> DataFrame:
 
     ``match_on`` names the fact columns (comma-joined), ``match_key`` holds their values.
     Precedence: ean with key, ean, building, free clause, none. A clause of the form
-    ``column = 'value'`` becomes an equality; any other is kept as ``clause:…`` and has to
-    be listed in the fact source. Attributes that are not JSON give the defaults.
+    ``column = 'value'``, or several of them tied by AND, becomes an equality of keys (columns by name), so that
+    it costs no more than a key; any other is kept as ``clause:…``. Attributes that are not JSON give the defaults.
     """
     meta = F.from_json(
         "other_metadata",
@@ -125,8 +129,11 @@ def connection_predicate(config: DataFrame) -> DataFrame:
         return F.nullif(F.col("_meta")[name], F.lit(""))
 
     ean, key, building, clause = (attr(n) for n in ("ean", "key", "building_uuid", "filter_clause"))
-    equality = r"^\s*(\w+)\s*=\s*'([^']*)'\s*$"
-    column = F.nullif(F.regexp_extract(clause, equality, 1), F.lit(""))
+    one = r"(\w+)\s*=\s*'([^']*)'"
+    columns, values = (F.regexp_extract_all(clause, F.lit(one), F.lit(i)) for i in (1, 2))
+    pairs = F.array_sort(F.arrays_zip(columns.alias("c"), values.alias("v")))
+    tied = clause.rlike(rf"(?i)^\s*{one}(\s+and\s+{one})*\s*$") & (F.size(F.array_distinct(columns)) == F.size(columns))
+    column = F.when(tied, F.array_join(F.transform(pairs, lambda p: p["c"]), ","))
     match_on = (
         F.when(ean.isNotNull() & key.isNotNull(), "ean,key")
         .when(ean.isNotNull(), "ean")
@@ -139,7 +146,7 @@ def connection_predicate(config: DataFrame) -> DataFrame:
         F.when(ean.isNotNull() & key.isNotNull(), F.concat(ean, F.lit(PART), key))
         .when(ean.isNotNull(), ean)
         .when(building.isNotNull(), building)
-        .when(column.isNotNull(), F.regexp_extract(clause, equality, 2))
+        .when(column.isNotNull(), F.array_join(F.transform(pairs, lambda p: p["v"]), PART))
         .otherwise("")
     )
     return parsed.withColumns({
@@ -150,13 +157,27 @@ def connection_predicate(config: DataFrame) -> DataFrame:
     }).drop("_meta")
 
 
+@contextmanager
+def _lenient(spark: SparkSession) -> Iterator[None]:
+    """What is resolved in here gives NULL where it cannot be evaluated, instead of ending the job."""
+    name = "spark.sql.ansi.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @dataclass(frozen=True)
 class FactSource:
     """A fact table that connections refer to by name.
 
     ``key_sets`` lists the column sets that predicates may use, ``()`` for connections that
-    own the whole table; ``clauses`` lists free clauses. ``date_col`` is the event date that
-    the table is partitioned by. ``frame`` is None when the table does not exist.
+    own the whole table; ``clauses`` lists free clauses. ``discover_sources`` finds both in a configuration.
+    ``date_col`` is the event date that the table is partitioned by. ``frame`` is None when the table does not
+    exist, or when it cannot be read: then ``error`` says why. ``other_processing_ts`` are further processing
+    columns that connections name; delays of all of them come from the same scan.
     """
 
     table: str
@@ -166,25 +187,110 @@ class FactSource:
     key_sets: Sequence[Sequence[str]] = (("sk",),)
     clauses: Sequence[str] = ()
     date_col: str | None = None
+    other_processing_ts: Sequence[str] = ()
+    error: str | None = None
 
     @property
     def has_processing_ts(self) -> bool:
         return self.frame is not None and self.processing_ts in self.frame.columns
 
-    def selections(self) -> Iterator[tuple[str, DataFrame, list[str]]]:
-        """(match_on, rows, key columns) for each way to select from the table."""
-        if self.frame is None:
-            return
-        for keys in self.key_sets:
-            yield ",".join(keys), self.frame, list(keys)
-        for clause in self.clauses:
-            yield f"clause:{clause}", self.frame.filter(F.expr(clause)), []
+    @property
+    def processing(self) -> list[str]:
+        """The processing columns that the table has."""
+        columns = self.frame.columns if self.frame is not None else []
+        return [c for c in dict.fromkeys((self.processing_ts, *self.other_processing_ts)) if c in columns]
 
     @property
     def answers(self) -> list[str]:
-        """The values of ``match_on`` that the source can answer."""
+        """The values of ``match_on`` that the source can answer; their places number the selections."""
         return [",".join(keys) for keys in self.key_sets] + [f"clause:{c}" for c in self.clauses]
 
+    @property
+    def key_columns(self) -> list[str]:
+        return list(dict.fromkeys(c for keys in self.key_sets for c in keys))
+
+    def selected(self, rows: DataFrame, **columns: Column) -> DataFrame:
+        """The given columns of ``rows``, once for every way to select them: ``_set`` numbers it, and key columns that it
+        does not use are NULL. However many selections there are, the rows are scanned once.
+
+        A row on which a clause cannot be evaluated does not fulfil it.
+        """
+        names, sets = self.key_columns, list(self.key_sets)
+        if self.clauses:
+            with _lenient(rows.sparkSession):
+                held = [F.when(F.expr(c), F.lit(len(sets) + i)) for i, c in enumerate(self.clauses)]
+                rows = rows.withColumn("_held", F.filter(F.array(*held), lambda n: n.isNotNull()))
+        plain = F.array(*map(F.lit, range(len(sets)))).cast("array<int>")
+        if len(sets) == 1 and not self.clauses:
+            number = F.lit(0)
+        else:
+            number = F.explode(F.concat(plain, "_held") if self.clauses else plain)
+        picked = rows.select(*names, *[c.alias(n) for n, c in columns.items()], number.alias("_set"))
+        own = {c: [i for i, keys in enumerate(sets) if c in keys] for c in names}
+        return picked.withColumns({c: F.when(F.col("_set").isin(where), F.col(c)) for c, where in own.items() if len(where) < len(self.answers)})
+
+
+def _all_hold(frame: DataFrame, clauses: Sequence[str]) -> bool:
+    """Whether all clauses are conditions on the rows of the table."""
+    log = logging.getLogger("SQLQueryContextLogger")  # a bad clause becomes an error record, not a page of log
+    before, log.disabled = log.disabled, True
+    try:
+        with _lenient(frame.sparkSession):
+            frame.filter(reduce(lambda a, b: a & b, map(F.expr, clauses)))
+        return True
+    except AnalysisException:
+        return False
+    finally:
+        log.disabled = before
+
+
+def usable_clauses(frame: DataFrame, clauses: Sequence[str]) -> list[str]:
+    """The clauses that Spark can resolve on the table. All are tried at once first, as most configurations have no bad one."""
+    empty = frame.sparkSession.createDataFrame([], frame.schema)
+    if not clauses or _all_hold(empty, clauses):
+        return list(clauses)
+    return [c for c in clauses if _all_hold(empty, [c])]
+
+
+def discover_sources(
+    config: DataFrame,
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame] | None],
+    date_cols: Mapping[str, str] | None = None,
+) -> list[FactSource]:
+    """A source per table and time column of the configuration, with all key sets and clauses that its connections use.
+
+    ``tables`` maps names to tables, or to functions that open them; a table that is missing or NULL does not exist, one that
+    cannot be opened becomes a source with its error. What a table cannot answer (unknown columns, clauses that are no
+    condition) is left out, and its connections alone become errors. The driver sees the distinct ways to select, not the connections.
+    """
+    wanted = connection_predicate(config).select("gold_table_name", "ts_col", "processing_ts_col", "match_on").distinct().collect()
+    opened: dict[str, tuple[DataFrame | None, str | None]] = {}
+    out = []
+    for table, ts in sorted({(r["gold_table_name"], r["ts_col"]) for r in wanted if r["gold_table_name"] is not None}):
+        if table not in opened:
+            given = tables.get(table)
+            try:
+                opened[table] = (given() if callable(given) else given), None
+            except PySparkException as wrong:
+                opened[table] = None, str(wrong)
+        frame, error = opened[table]
+        if frame is None:
+            out.append(FactSource(table, None, ts, error=error))
+            continue
+        if ts not in frame.columns:
+            continue
+        mine = [r for r in wanted if (r["gold_table_name"], r["ts_col"]) == (table, ts)]
+        ways = sorted({r["match_on"] for r in mine})
+        keys = [tuple(w.split(",")) if w else () for w in ways if not w.startswith("clause:")]
+        processing = sorted({r["processing_ts_col"] for r in mine}, key=lambda c: (c != DEFAULT_PROCESSING_TS, c))
+        out.append(FactSource(
+            table, frame, ts, processing[0],
+            key_sets=tuple(k for k in keys if set(k) <= set(frame.columns)),
+            clauses=tuple(usable_clauses(frame, [w.removeprefix("clause:") for w in ways if w.startswith("clause:")])),
+            date_col=(date_cols or {}).get(table), other_processing_ts=tuple(processing[1:]),
+        ))
+    return out
+
 
 def distinct_sources(sources: Sequence[FactSource]) -> Sequence[FactSource]:
     """The sources, if no table is given twice for one time column: its records would count twice."""
@@ -204,32 +310,23 @@ def answered(sources: Sequence[FactSource]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def match_connections(
-    aggregated: DataFrame, keys: Sequence[str], config: DataFrame, source: FactSource, match_on: str
-) -> DataFrame:
-    """Join facts, already reduced per key, to the connections that select them.
+def match_connections(aggregated: DataFrame, config: DataFrame, source: FactSource) -> DataFrame:
+    """Join facts, already reduced per selection and key, to the connections that select them.
 
     Aggregating first keeps a hot key away from the join: it meets the configuration
     as a handful of rows. Spark broadcasts the smaller side only if its size allows.
     """
-    if keys:
-        parts: list[Column] = []
-        for k in keys:
-            parts += [F.lit(PART), F.col(k).cast("string")]
-        key = F.concat(*parts[1:])
-    else:
-        # A table without rows has nothing to match. The aggregate of a whole table is one
-        # row per period; tied to one of its columns, the key stays an equality join.
-        present = next(f.name for f in aggregated.schema.fields if f.nullable)
-        key = F.when(F.col(present).isNotNull(), "")
-    keyed = aggregated.withColumn("match_key", key).drop(*keys)
-    mine = config.filter(
-        (F.col("gold_table_name") == source.table)
-        & (F.col("match_on") == match_on)
-        & (F.col("ts_col") == source.ts)
-    )
-    if len(keys) == 1:
-        # as SQL compares: '007' is the number 7 for a column of numbers
-        kind = source.frame.schema[keys[0]].dataType
-        mine = mine.withColumn("match_key", F.col("match_key").try_cast(kind).cast("string"))
-    return mine.join(keyed, "match_key")
+    answers, number = source.answers, F.col("_set")
+    types = {c: source.frame.schema[c].dataType for c in source.key_columns}
+    key, asked = F.when(number >= len(source.key_sets), F.lit("")), F.col("match_key")
+    for i, keys in enumerate(source.key_sets):
+        parts = [x for c in keys for x in (F.lit(PART), F.col(c).cast("string"))]
+        key = F.when(number == i, F.concat(*parts[1:]) if keys else F.lit("")).otherwise(key)
+        if keys:  # as SQL compares: '007' is the number 7 for a column of numbers
+            given = F.split("match_key", PART)
+            typed = [x for j, c in enumerate(keys) for x in (F.lit(PART), F.get(given, j).try_cast(types[c]).cast("string"))]
+            asked = F.when(F.col("match_on") == ",".join(keys), F.concat(*typed[1:])).otherwise(asked)
+    name = F.element_at(F.array(*map(F.lit, answers)), number + 1)
+    keyed = aggregated.withColumns({"match_on": name, "match_key": key}).drop("_set", *source.key_columns)
+    mine = config.filter((F.col("gold_table_name") == source.table) & (F.col("ts_col") == source.ts)).withColumn("match_key", asked)
+    return mine.join(keyed, ["match_on", "match_key"])

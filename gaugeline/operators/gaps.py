@@ -5,25 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.health import DAILY_MINUTES
 from ..functions.time import DEFAULT_ZONE, local_day_bounds, minutes_between, ts_lit, utc, within
 from .config import FactSource, match_connections
-from .metrics import _as_list, _configured, union_all
+from .metrics import _as_list, _configured, _readable, union_all
 
 
-def _clusters(rows: DataFrame, keys: Sequence[str], ts: str, width: int) -> DataFrame:
-    """First and last record per (key, stretch of ``width`` seconds).
+def _clusters(source: FactSource, rows: DataFrame, width: int) -> DataFrame:
+    """First and last record per (selection, key, stretch of ``width`` seconds).
 
     Records of one stretch are closer together than any gap, so the stretches hold all
     that gap detection needs. Their number depends on the window only, not on the number
     of records, and map-side aggregation builds them before anything is shuffled.
     """
-    stretch = F.floor(F.unix_timestamp(ts) / width)
-    return rows.groupBy(*keys, stretch.alias("_stretch")).agg(
-        F.min(ts).alias("_first"), F.max(ts).alias("_last")
+    stretch = F.floor(F.unix_timestamp(source.ts) / width)
+    picked = source.selected(rows, _at=F.col(source.ts), _stretch=stretch)
+    return picked.groupBy("_set", *source.key_columns, "_stretch").agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last")
     ).drop("_stretch")
 
 
@@ -54,13 +55,11 @@ def detect_gaps(
             F.explode(F.array(ts_lit(start), ts_lit(end))).alias("_first"),
         ).withColumn("_last", F.col("_first"))
     ]
-    for source in sources:
-        for match_on, rows, keys in source.selections():
-            clusters = _clusters(rows.filter(within(source.ts, start, end, source.date_col)), keys, source.ts, width)
-            pieces.append(
-                match_connections(clusters, keys, eligible, source, match_on)
-                .select("connection_id", "expected_interval_minutes", "_first", "_last")
-            )
+    for source in _readable(sources):
+        clusters = _clusters(source, source.frame.filter(within(source.ts, start, end, source.date_col)), width)
+        pieces.append(
+            match_connections(clusters, eligible, source).select("connection_id", "expected_interval_minutes", "_first", "_last")
+        )
     before = (
         Window.partitionBy("connection_id").orderBy("_first", "_last").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -75,6 +74,25 @@ def detect_gaps(
     )
 
 
+def gaps_between(edges: Column, interval: Column, start: datetime | str, end: datetime | str, factor: float = 1.5) -> Column:
+    """The gaps of one connection as an array in time order, from the ``edges`` of `connection_facts`: the same as `detect_gaps`.
+
+    NULL without a gap, and for connections without an interval below a day.
+    """
+    bound = [F.array(F.struct(ts_lit(t).alias("_first"), ts_lit(t).alias("_last"))) for t in (start, end)]
+    known = F.coalesce(edges, F.slice(bound[0], 1, 0))
+    before, after = F.concat(bound[0], known), F.concat(known, bound[1])
+
+    def gap(a: Column, b: Column) -> Column:
+        minutes = minutes_between(b["_first"], a["_last"])
+        return F.when(minutes > interval * F.lit(float(factor)), F.struct(
+            a["_last"].alias("gap_start"), b["_first"].alias("gap_end"), F.bround(minutes, 0).cast("int").alias("gap_duration_minutes"),
+            F.greatest(F.lit(0), F.bround(minutes / interval, 0).cast("int") - 1).alias("missing_records")))
+
+    found = F.filter(F.zip_with(before, after, gap), lambda g: g.isNotNull())
+    return F.when((interval > 0) & (interval < DAILY_MINUTES) & (F.size(found) > 0), found)
+
+
 def gap_summary(gaps: DataFrame) -> DataFrame:
     """Number of gaps and the gaps in time order; a day cannot hold more gaps than minutes."""
     entry = F.struct("gap_start", "gap_end", "gap_duration_minutes", "missing_records")

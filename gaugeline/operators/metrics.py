@@ -10,54 +10,63 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.health import DAILY_MINUTES, HOUR_FIELDS, completeness_pct, expected_per_hour, uptime_pct
-from ..functions.time import DEFAULT_ZONE, local_day_bounds, minutes_between, rolling_window, since, ts_lit, within
+from ..functions.time import DEFAULT_ZONE, local_day_bounds, minutes_between, rolling_window, since, ts_lit, utc, within
 from .config import FactSource, match_connections
 from .rollup import any_null
 
 POINTS = ("_points", "_distinct", "_nulls", "_delay_sum", "_delay_n", "_delay_max")
+STRETCH_SECONDS = 90  # divides an hour; shorter than one and a half of the shortest interval
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _hour_points(
-    source: FactSource, rows: DataFrame, keys: Sequence[str], bucket_ts: str, delay: Column, nulls: Column
+def reduced(
+    source: FactSource, rows: DataFrame, bucket: Column, at: Column, newest: Column,
+    delays: Sequence[Column] = (), nulls: Column | None = None,
 ) -> DataFrame:
-    """Counts and delay sums per (key, hour), still without the configuration.
+    """One scan of ``rows``, reduced per selection, key and bucket: counts, delay sums per processing column, first and last
+    ``at`` and the newest record.
 
-    The distinct count is spread over (key, hour, timestamp) before it is gathered
-    per hour, so a key with most of the rows does not fill one task.
+    First per distinct ``at``, which spreads a key with most of the rows over the tasks and counts distinct times on
+    the way; then per bucket.
     """
-    narrow = rows.select(
-        *keys,
-        F.date_trunc("hour", bucket_ts).alias("hour"),
-        F.col(source.ts).alias("_ts"),
-        delay.cast("double").alias("_delay"),
-        nulls.alias("_null"),
-    )
-    return narrow.groupBy(*keys, "hour").agg(
-        F.count(F.lit(1)).alias("_points"),
-        F.count_distinct("_ts").alias("_distinct"),
-        F.count_if("_null").alias("_nulls"),
-        F.sum("_delay").alias("_delay_sum"),
-        F.count("_delay").alias("_delay_n"),
-        F.max("_delay").alias("_delay_max"),
-    )
-
-
-def _finish(points: DataFrame, period: Column, expected: Column, delay_scale: int | None = None) -> DataFrame:
-    """Hour rows of the published struct from summed points."""
+    keys = source.key_columns
+    columns = {"_bucket": bucket, "_at": at, "_newest": newest, "_null": F.lit(False) if nulls is None else nulls,
+               **{f"_delay_{i}": d.cast("double") for i, d in enumerate(delays)}}
+    which = range(len(delays))
+    each = source.selected(rows, **columns).groupBy("_set", *keys, "_bucket", "_at").agg(
+        F.count(F.lit(1)).alias("_points"), F.count_if("_null").alias("_nulls"), F.max("_newest").alias("_newest"),
+        *[F.sum(f"_delay_{i}").alias(f"_delay_sum_{i}") for i in which], *[F.count(f"_delay_{i}").alias(f"_delay_n_{i}") for i in which],
+        *[F.max(f"_delay_{i}").alias(f"_delay_max_{i}") for i in which])
+    return each.groupBy("_set", *keys, "_bucket").agg(
+        F.sum("_points").alias("_points"), F.count("_at").alias("_distinct"), F.sum("_nulls").alias("_nulls"),
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.max("_newest").alias("_newest"),
+        *[F.sum(f"_delay_sum_{i}").alias(f"_delay_sum_{i}") for i in which], *[F.sum(f"_delay_n_{i}").alias(f"_delay_n_{i}") for i in which],
+        *[F.max(f"_delay_max_{i}").alias(f"_delay_max_{i}") for i in which])
+
+
+def _own_delay(matched: DataFrame, names: Sequence[str | None]) -> DataFrame:
+    """The delay figures of the processing column that the connection names; ``None`` stands for any."""
+    nothing = {"_delay_sum": "double", "_delay_n": "bigint", "_delay_max": "double"}
+    return matched.withColumns({
+        c: F.coalesce(F.lit(None).cast(t), *[
+            F.when(F.lit(True) if n is None else F.col("processing_ts_col") == n, F.col(f"{c}_{i}")) for i, n in enumerate(names)])
+        for c, t in nothing.items()
+    })
+
+
+def _finish(points: DataFrame, period: Column, expected: Column, delay_scale: int | None = None, more: Sequence[Column] = ()) -> DataFrame:
+    """Hour rows of the published struct from summed points, and ``more`` aggregates. Rows without a period have no figures."""
 
     def delay(c: Column) -> Column:
         return c if delay_scale is None else F.bround(F.round(c, 9), delay_scale)
 
     interval = F.col("expected_interval_minutes")
-    total = (
-        points.withColumns({"_period": period, "_expected": expected})
-        .groupBy("connection_id", interval, "_expected", "_period")
-        .agg(*[(F.max(c) if c == "_delay_max" else F.sum(c)).alias(c) for c in POINTS])
-    )
+    grouped = points.withColumns({"_period": period, "_expected": expected}).groupBy("connection_id", interval, "_expected", "_period")
+    total = grouped.agg(*[(F.max(c) if c == "_delay_max" else F.sum(c)).alias(c) for c in POINTS], *more)
+    kept = [c for c in total.columns if c not in ("connection_id", "expected_interval_minutes", "_expected", "_period", *POINTS)]
     values = {
         "hour": F.col("_period"),
         "data_points": F.col("_points"),
@@ -71,20 +80,28 @@ def _finish(points: DataFrame, period: Column, expected: Column, delay_scale: in
         "total_validation_errors": F.col("_points") - F.col("_distinct") + F.col("_nulls"),
     }
     return total.select(
-        "connection_id", interval, *[(_int(values[n]) if t == "int" else values[n].cast(t)).alias(n) for n, t in HOUR_FIELDS]
+        "connection_id", interval,
+        *[F.when(F.col("_period").isNotNull(), _int(values[n]) if t == "int" else values[n].cast(t)).alias(n) for n, t in HOUR_FIELDS], *kept
     )
 
 
-def _delay(source: FactSource, processing_ts: str) -> Column:
-    if source.frame is None or processing_ts not in source.frame.columns:
-        return F.lit(None)
-    return minutes_between(F.col(processing_ts), F.col(source.ts))
+def _ingestion_delay(source: FactSource, ingestion_ts: str) -> list[Column]:
+    return [minutes_between(F.col(ingestion_ts), F.col(source.ts))] if ingestion_ts in source.frame.columns else []
 
 
 def _as_list(sources: FactSource | Sequence[FactSource]) -> list[FactSource]:
     return [sources] if isinstance(sources, FactSource) else list(sources)
 
 
+def _readable(sources: FactSource | Sequence[FactSource]) -> list[FactSource]:
+    return [s for s in _as_list(sources) if s.frame is not None and s.answers]
+
+
+def _same_columns(found: Sequence[DataFrame]) -> DataFrame:
+    columns = ["connection_id", "expected_interval_minutes", "_bucket", *POINTS, "_first", "_last", "_newest"]
+    return union_all([f.select(*columns) for f in found])
+
+
 def _configured(interval_ok: DataFrame) -> DataFrame:
     return interval_ok.select(
         "connection_id", "gold_table_name", "expected_interval_minutes",
@@ -103,21 +120,16 @@ def period_metrics(
     start, end = local_day_bounds(as_of, zone)
     usable = _configured(config.filter(F.col("expected_interval_minutes") != 0))
     found = []
-    for source in _as_list(sources):
-        for match_on, rows, keys in source.selections():
-            points = _hour_points(
-                source, rows.filter(within(source.ts, start, end, source.date_col)), keys, source.ts,
-                _delay(source, source.processing_ts), F.lit(False),
-            )
-            matched = match_connections(points, keys, usable, source, match_on)
-            known = F.col("processing_ts_col") == source.processing_ts
-            found.append(matched.withColumns({
-                c: F.when(known, F.col(c)) for c in ("_delay_sum", "_delay_n", "_delay_max")
-            }))
-    daily = F.col("expected_interval_minutes") >= DAILY_MINUTES
+    for source in _readable(sources):
+        ts = F.col(source.ts)
+        points = reduced(
+            source, source.frame.filter(within(source.ts, start, end, source.date_col)), F.date_trunc("hour", ts), ts, ts,
+            [minutes_between(F.col(p), ts) for p in source.processing])
+        found.append(_own_delay(match_connections(points, usable, source), source.processing))
+    hour, daily = F.col("_bucket"), F.col("expected_interval_minutes") >= DAILY_MINUTES
     return _finish(
-        union_all(found),
-        F.when(daily, ts_lit(start)).otherwise(F.col("hour")),
+        _same_columns(found),
+        F.when(daily, ts_lit(start)).otherwise(hour),
         F.when(daily, F.lit(1)).otherwise(expected_per_hour(F.col("expected_interval_minutes"))),
     )
 
@@ -178,18 +190,64 @@ def streaming_hourly_metrics(
     start, end = rolling_window(as_of)
     usable = _configured(config.filter(F.col("expected_interval_minutes") != 0))
     found = []
-    for source in _as_list(sources):
-        for match_on, rows, keys in source.selections():
-            points = _hour_points(
-                source, rows.filter(within(source.processing_ts, start, end)), keys, source.processing_ts,
-                _delay(source, ingestion_ts), any_null(rows, critical_cols),
-            )
-            found.append(match_connections(points, keys, usable, source, match_on))
+    for source in _readable(sources):
+        rows, proc = source.frame.filter(within(source.processing_ts, start, end)), F.col(source.processing_ts)
+        points = reduced(source, rows, F.date_trunc("hour", proc), F.col(source.ts), proc, _ingestion_delay(source, ingestion_ts), any_null(rows, critical_cols))
+        found.append(_own_delay(match_connections(points, usable, source), [None] if ingestion_ts in rows.columns else []))
     return _finish(
-        union_all(found), F.col("hour"), expected_per_hour(F.col("expected_interval_minutes")), delay_scale=2
+        _same_columns(found), F.col("_bucket"), expected_per_hour(F.col("expected_interval_minutes")), delay_scale=2
     )
 
 
+def connection_facts(
+    sources: FactSource | Sequence[FactSource],
+    config: DataFrame,
+    window: tuple[datetime | str, datetime | str],
+    newest_from: datetime | str | None = None,
+    on_processing_ts: bool = False,
+    critical_cols: Sequence[str] = (),
+    ingestion_ts: str = "ingestionTimestamp",
+) -> DataFrame:
+    """All that a status needs to know of the facts, per connection, from one scan of each table: ``hourly_metrics`` and its
+    summary, ``last_sync_timestamp``, and ``edges``, first and last record of each stretch of `STRETCH_SECONDS` in the
+    window, between which gaps may lie (at most 960 stretches a day, for connections that can have gaps).
+
+    Newest records are looked for in the whole table, or from ``newest_from`` on. The window is [start, end) by event
+    time, or by ``on_processing_ts`` by processing time; then hours have no edges.
+    """
+    start, end = window
+    interval = F.col("expected_interval_minutes")
+    found = []
+    for source in _readable(sources):
+        ts, proc = F.col(source.ts), F.col(source.processing_ts)
+        clock, date_col = (source.processing_ts, None) if on_processing_ts else (source.ts, source.date_col)
+        rows = source.frame
+        if newest_from is not None:
+            rows = rows.filter(since(clock, min(utc(start), utc(newest_from)), date_col))
+        inside = within(clock, start, end)
+        if on_processing_ts:
+            bucket, delays = F.date_trunc("hour", proc), _ingestion_delay(source, ingestion_ts)
+            names: list[str | None] = [None] * len(delays)
+        else:
+            bucket = F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / STRETCH_SECONDS) * STRETCH_SECONDS)
+            names = list(source.processing)
+            delays = [minutes_between(F.col(p), ts) for p in source.processing]
+        points = reduced(source, rows, F.when(inside, bucket), F.when(inside, ts), F.col(clock), [F.when(inside, d) for d in delays],
+                         F.when(inside, any_null(rows, critical_cols)))
+        found.append(_own_delay(match_connections(points, _configured(config), source), names))
+    daily = F.coalesce(interval >= DAILY_MINUTES, F.lit(False)) & F.lit(not on_processing_ts)
+    hour = F.date_trunc("hour", "_bucket")
+    period = F.when(F.col("_bucket").isNotNull() & (interval != 0), F.when(daily, ts_lit(start)).otherwise(hour))
+    edge = F.when(F.col("_first").isNotNull() & (interval > 0) & (interval < DAILY_MINUTES), F.struct("_first", "_last"))
+    more = [F.max("_newest").alias("_newest")] + ([] if on_processing_ts else [F.collect_list(edge).alias("_edges")])
+    hours = _finish(_same_columns(found), period, F.when(daily, F.lit(1)).otherwise(expected_per_hour(interval)), 2 if on_processing_ts else None, more)
+    entries = F.array_sort(F.collect_list(F.when(F.col("hour").isNotNull(), F.struct(*[n for n, _ in HOUR_FIELDS]))))
+    edges = F.lit(None) if on_processing_ts else F.array_sort(F.flatten(F.collect_list("_edges")))
+    return hours.groupBy("connection_id").agg(
+        F.when(F.size(entries) > 0, entries).alias("hourly_metrics"), *summary_columns(), F.max("_newest").alias("last_sync_timestamp"),
+        edges.alias("edges"))
+
+
 def latest_per_connection(
     sources: FactSource | Sequence[FactSource],
     config: DataFrame,
@@ -198,14 +256,13 @@ def latest_per_connection(
 ) -> DataFrame:
     """Newest record of each connection, over the whole fact or from ``start`` on."""
     found = []
-    for source in _as_list(sources):
-        for match_on, rows, keys in source.selections():
-            ts = source.processing_ts if on_processing_ts else source.ts
-            if start is not None:
-                rows = rows.filter(since(ts, start, None if on_processing_ts else source.date_col))
-            newest = rows.groupBy(*keys).agg(F.max(ts).alias("last_sync_timestamp"))
-            matched = match_connections(newest, keys, _configured(config), source, match_on)
-            found.append(matched.select("connection_id", "last_sync_timestamp"))
+    for source in _readable(sources):
+        ts = source.processing_ts if on_processing_ts else source.ts
+        rows = source.frame
+        if start is not None:
+            rows = rows.filter(since(ts, start, None if on_processing_ts else source.date_col))
+        newest = source.selected(rows, _newest=F.col(ts)).groupBy("_set", *source.key_columns).agg(F.max("_newest").alias("last_sync_timestamp"))
+        found.append(match_connections(newest, _configured(config), source).select("connection_id", "last_sync_timestamp"))
     return union_all(found).groupBy("connection_id").agg(F.max("last_sync_timestamp").alias("last_sync_timestamp"))
 
 
@@ -222,8 +279,8 @@ def _mean(col: str) -> Column:
 
 
 def _int(total: Column) -> Column:
-    """Published counts are INT: what is larger stays at the largest INT instead of stopping all statuses."""
-    return F.least(total, F.lit(2**31 - 1)).cast("int")
+    """Published counts are INT: what is larger stays at the largest INT instead of stopping all statuses. No count stays NULL."""
+    return F.when(total.isNotNull(), F.least(total, F.lit(2**31 - 1))).cast("int")
 
 
 def summary_columns() -> list[Column]:

@@ -5,17 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.health import DAILY_MINUTES, status_expr
-from ..functions.time import DEFAULT_ZONE, ts_lit
+from ..functions.health import status_expr
+from ..functions.time import DEFAULT_ZONE, local_day_bounds, rolling_window, ts_lit
 from ..schemas import CONNECTION_STATUS, struct
 from .config import FactSource, active_only, answered, connection_predicate, distinct_sources, skip_already_checked
-from .gaps import detect_gaps, gap_summary
-from .metrics import (
-    _as_list, hourly_and_summary, latest_per_connection, period_metrics, streaming_hourly_metrics,
-)
+from .gaps import gaps_between
+from .metrics import _as_list, connection_facts
 
 STATIC = ["data_name", "type", "data_type", "protocol", "location", "object_id", "brand", "processing_type"]
 RANK = {"ACTIVE": 0, "DELAYED": 1, "OFFLINE": 2}
@@ -48,27 +46,27 @@ def connection_status(
 def _assemble(
     config: DataFrame,
     sources: Sequence[FactSource],
-    hours: DataFrame,
-    latest: DataFrame,
-    gaps: DataFrame | None,
+    facts: DataFrame,
+    gaps: Column | None,
     as_of: datetime | str,
     run_id: str,
     job_state: str,
     delayed_days: float,
     offline_days: float,
 ) -> DataFrame:
-    """Join the parts to the configuration; silent connections stay in.
+    """Join the facts to the configuration; silent connections stay in.
 
-    ``config`` comes from ``connection_predicate``. All parts hold one row per connection. A
+    ``config`` comes from ``connection_predicate``, ``facts`` from ``connection_facts``, a row per connection. A
     connection whose interval is NULL or zero, or whose predicate or time column none of the
-    sources of its table knows, cannot be judged: it becomes OFFLINE / ERROR with nothing else filled in.
+    sources of its table knows, or whose table cannot be read, cannot be judged: it becomes OFFLINE / ERROR with nothing else filled in.
     """
     interval = F.col("expected_interval_minutes")
     exists = F.col("gold_table_name").isin([s.table for s in sources if s.frame is not None])
-    joined = config.join(hourly_and_summary(hours), "connection_id", "left").join(latest, "connection_id", "left")
+    failed = F.col("gold_table_name").isin([s.table for s in sources if s.error is not None])
+    joined = config.join(facts, "connection_id", "left")
     if gaps is not None:
-        joined = joined.join(gap_summary(gaps), "connection_id", "left")
-        count = F.when(exists, F.coalesce(F.col("data_gap_count"), F.lit(0)))
+        joined = joined.withColumn("data_gaps", F.when(exists, gaps))
+        count = F.when(exists, F.when(F.col("data_gaps").isNull(), 0).otherwise(F.size("data_gaps")))
     else:
         joined = joined.withColumn("data_gaps", F.lit(None))
         count = F.lit(None)
@@ -76,7 +74,7 @@ def _assemble(
         joined.withColumns({"data_gap_count": count, "job_state": F.lit(job_state)}),
         as_of, delayed_days, offline_days,
     )
-    error = exists & (interval.isNull() | (interval == 0) | ~answered(sources))
+    error = failed | (exists & (interval.isNull() | (interval == 0) | ~answered(sources)))
     fixed = {
         "status": F.when(error, "OFFLINE").otherwise(F.col("status")),
         "job_state": F.when(error, "ERROR").otherwise(F.col("job_state")),
@@ -108,7 +106,7 @@ def status_snapshot(
     history: DataFrame | None = None,
     history_until: datetime | str | None = None,
 ) -> DataFrame:
-    """One status record per connection for the previous local day, as a single plan.
+    """One status record per connection for the previous local day, as a single plan with one scan per fact table.
 
     The newest record of a connection is looked for in the whole fact. Where that is too
     much to read every day, give the status ``history`` and a time ``history_until`` up to
@@ -116,15 +114,14 @@ def status_snapshot(
     """
     sources = distinct_sources(_as_list(sources))
     matched = connection_predicate(config)
-    latest = latest_per_connection(sources, matched, start=history_until)
+    start, end = local_day_bounds(as_of, zone)
+    facts = connection_facts(sources, matched, (start, end), history_until)
     if history is not None:
-        latest = latest.unionByName(history.select("connection_id", "last_sync_timestamp"))
-        latest = latest.groupBy("connection_id").agg(F.max("last_sync_timestamp").alias("last_sync_timestamp"))
+        earlier = history.groupBy("connection_id").agg(F.max("last_sync_timestamp").alias("_earlier"))
+        facts = facts.join(earlier, "connection_id", "full").withColumn(
+            "last_sync_timestamp", F.greatest("last_sync_timestamp", "_earlier")).drop("_earlier")
     return _assemble(
-        matched, sources,
-        period_metrics(sources, matched, as_of, zone),
-        latest,
-        detect_gaps(sources, matched, as_of, zone=zone),
+        matched, sources, facts, gaps_between(F.col("edges"), F.col("expected_interval_minutes"), start, end),
         as_of, run_id, job_state, delayed_days, offline_days,
     )
 
@@ -146,12 +143,8 @@ def streaming_status(
     """
     sources = distinct_sources(_as_list(sources))
     matched = connection_predicate(config)
-    return _assemble(
-        matched, sources,
-        streaming_hourly_metrics(sources, matched, as_of, critical_cols, ingestion_ts),
-        latest_per_connection(sources, matched, on_processing_ts=True),
-        None, as_of, run_id, "RUNNING", delayed_days, offline_days,
-    )
+    facts = connection_facts(sources, matched, rolling_window(as_of), None, True, critical_cols, ingestion_ts)
+    return _assemble(matched, sources, facts, None, as_of, run_id, "RUNNING", delayed_days, offline_days)
 
 
 def failure_status(

@@ -875,6 +875,53 @@ def connection_predicate(spark, sf_dir):
     return matched.select("connection_id", "match_on").join(latest, "connection_id")
 
 
+CLAUSES = {
+    0: "user_id = '{u}' AND kind = 'view'",
+    1: "kind = 'click' and user_id='{u}'",
+    2: "value > {v} AND kind IN ('view', 'purchase')",
+    3: "CAST(props AS INT) = {v} OR (user_id % 40 = {v} AND value >= 50)",  # props is no number: the first part is never fulfilled
+    4: "no_such_column = 1 AND user_id = 1",
+    5: "user_id = 1 AND (",
+    6: "max(value) > 1",
+    7: "value",
+}
+
+
+@query(f"""
+WITH c AS (SELECT DISTINCT user_id AS u FROM events),
+seen AS (
+    SELECT c.u, max(ts) AS last_ts
+    FROM c LEFT JOIN events e ON CASE c.u % 8
+        WHEN 0 THEN e.user_id = c.u AND e.event_type = 'view'
+        WHEN 1 THEN e.user_id = c.u AND e.event_type = 'click'
+        WHEN 2 THEN e.value > c.u % 40 AND e.event_type IN ('view', 'purchase')
+        WHEN 3 THEN e.user_id % 40 = c.u % 40 AND e.value >= 50
+        ELSE FALSE END
+    GROUP BY c.u
+)
+SELECT 'c_' || u AS connection_id, last_ts AS last_sync_timestamp,
+       CASE WHEN u % 8 > 3 OR last_ts IS NULL THEN 'OFFLINE'
+            WHEN epoch_us(TIMESTAMP '{I.CHECKED_AT}') - epoch_us(last_ts) > 4 * 86400000000 THEN 'OFFLINE'
+            WHEN epoch_us(TIMESTAMP '{I.CHECKED_AT}') - epoch_us(last_ts) > 86400000000 THEN 'DELAYED' ELSE 'ACTIVE' END AS status,
+       CASE WHEN u % 8 > 3 THEN 'ERROR' ELSE 'SUCCESS' END AS job_state
+FROM seen
+""")
+def free_clauses(spark, sf_dir):
+    """Connections with clauses of their own, good and bad, and nothing declared by hand."""
+    events = I.table(spark, sf_dir, "events")
+    frame = events.select("ts", "user_id", "value", "props", F.col("event_type").alias("kind"))
+    user = F.col("user_id").cast("string")
+    turn = (F.col("user_id") % 40).cast("string")
+    clause = F.coalesce(*[F.when(F.col("user_id") % 8 == k, F.replace(F.replace(F.lit(text), F.lit("{u}"), user), F.lit("{v}"), turn))
+                          for k, text in CLAUSES.items()])
+    config = events.select("user_id").distinct().select(
+        F.format_string("c_%s", user).alias("connection_id"), F.lit("t").alias("gold_table_name"), F.lit(1440).alias("expected_interval_minutes"),
+        F.to_json(F.struct(clause.alias("filter_clause"), F.lit("ts").alias("timestamp_col"))).alias("other_metadata"),
+        F.lit(1).alias("delayed_threshold_days"), F.lit(4).alias("offline_threshold_days"), *[F.lit(None).cast("string").alias(c) for c in status.STATIC])
+    snapshot = status.status_snapshot(config, C.discover_sources(config, {"t": frame}), I.CHECKED_AT, "run-3")
+    return snapshot.select("connection_id", "last_sync_timestamp", "status", "job_state")
+
+
 @query("""
 SELECT o_orderpriority AS job_name, CAST(o_orderdate AS DATE) AS pause_start_date,
        CAST(o_orderdate AS DATE) + 10 AS pause_end_date, o_orderkey AS schedule_id

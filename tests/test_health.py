@@ -282,3 +282,58 @@ def test_totals_are_marked(spark):
     log = spark.createDataFrame([(None, "success", 2), ("a", "error", 0)], "entity string, status string, samples int")
     assert sorted((r.is_total, r.entity is None, r.fetches) for r in landing_summary(log).collect()) == [
         (False, False, 1), (False, True, 1), (True, True, 2)]
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan parquet")
+
+
+def test_one_scan_per_table_for_all_ways_to_select(spark, tmp_path):
+    facts = make_facts(spark, [("a", "2024-01-20 11:00:00", 0), ("b", "2024-01-19 11:00:00", 60)]).withColumns(
+        {"ean": F.lit("e"), "key": F.col("sk"), "unit": F.lit("W"), "other_ts": F.col("timestamp")})
+    facts.write.parquet(str(tmp_path / "t"))
+    config = make_config(spark, [
+        ("sk", 30, 1, 4, '{"filter_clause": "sk = \'a\'"}', "t"), ("two", 30, 1, 4, '{"filter_clause": "unit = \'W\' AND sk = \'b\'"}', "t"),
+        ("ean", 30, 1, 4, '{"ean": "e"}', "t"), ("both", 30, 1, 4, '{"ean": "e", "key": "b"}', "t"), ("all", 30, 1, 4, None, "t"),
+        ("free", 30, 1, 4, '{"filter_clause": "sk > \'a\'"}', "t"), ("none", 30, 1, 4, '{"filter_clause": "sk > \'z\'"}', "t")])
+    sources = C.discover_sources(config, {"t": spark.read.parquet(str(tmp_path / "t"))})
+    snap = status.status_snapshot(config, sources, AS_OF, "r")
+    assert scans(snap) == 1 and scans(status.streaming_status(config, sources, AS_OF, "r")) == 1
+    assert {r["connection_id"]: (r["last_sync_timestamp"].hour, r["data_points_24h"]) for r in snap.collect() if r["last_sync_timestamp"]} == {
+        "sk": (11, None), "two": (11, 1), "ean": (11, 1), "both": (11, 1), "all": (11, 1), "free": (11, 1)}
+
+
+def test_bad_clauses_and_tables_fail_alone(spark, tmp_path):
+    facts = make_facts(spark, [("7", "2024-01-20 11:00:00", 0), ("x", "2024-01-20 11:30:00", 0)])
+    clauses = {"good": "sk <> 'y'", "cast": "CAST(sk AS INT) = 7", "column": "nothing > 1", "syntax": "sk = (", "aggregate": "max(sk) = '7'",
+               "number": "1 + 1", "window": "row_number() OVER (ORDER BY sk) = 1", "twice": "sk = '7' AND sk = 'x'", "escape": "1=1) OR (1=1"}
+    import json
+    config = make_config(spark, [(k, 60, 1, 4, json.dumps({"filter_clause": c}), "t") for k, c in clauses.items()]
+                         + [("lost", 60, 1, 4, None, "missing"), ("broken", 60, 1, 4, None, "broken")])
+    sources = C.discover_sources(config, {"t": facts, "broken": lambda: spark.read.parquet(str(tmp_path / "nothing"))})
+    got = {r["connection_id"]: (r["job_state"], r["last_sync_timestamp"] and r["last_sync_timestamp"].minute)
+           for r in status.status_snapshot(config, sources, AS_OF, "r").collect()}
+    bad = ("ERROR", None)
+    assert got == {"good": ("SUCCESS", 30), "cast": ("SUCCESS", 0), "twice": ("SUCCESS", None), "lost": ("SUCCESS", None), "broken": bad,
+                   **dict.fromkeys(("column", "syntax", "aggregate", "number", "window", "escape"), bad)}
+
+
+def test_two_processing_columns_of_one_table(spark):
+    facts = make_facts(spark, [("c", "2024-01-19 10:00:00", 120)]).withColumn("arrived", F.col("timestamp") + F.expr("INTERVAL 7 MINUTES"))
+    config = make_config(spark, [
+        ("usual", 60, 1, 4, '{"filter_clause": "sk = \'c\'"}', "t"),
+        ("other", 60, 1, 4, '{"filter_clause": "sk = \'c\'", "processing_timestamp_col": "arrived"}', "t"),
+        ("absent", 60, 1, 4, '{"filter_clause": "sk = \'c\'", "processing_timestamp_col": "nowhere"}', "t")])
+    snap = status.status_snapshot(config, C.discover_sources(config, {"t": facts}), AS_OF, "r")
+    assert {r["connection_id"]: r["avg_delay_minutes"] for r in snap.collect()} == {"usual": 2.0, "other": 7.0, "absent": None}
+
+
+def test_gaps_of_the_status_equal_those_of_the_operator(spark):
+    times = [(f"c{k}", 1705618800 + (i * 7919 * (k + 3)) % 86400) for k in range(4) for i in range(3 + 40 * k)]
+    facts = spark.createDataFrame(times, "sk string, s long").select("sk", F.timestamp_seconds("s").alias("timestamp"))
+    config = by_sk(spark, ("c0", 30), ("c1", 15), ("c2", 5), ("c3", 1), ("silent", 60), ("daily", 1440))
+    snap = status.status_snapshot(config, source(facts), AS_OF, "r")
+    found = gaps.detect_gaps(source(facts), C.connection_predicate(config), AS_OF)
+    assert sorted(map(tuple, snap.select("connection_id", F.explode("data_gaps").alias("g")).select("connection_id", "g.*").collect())) == sorted(
+        map(tuple, found.select("connection_id", "gap_start", "gap_end", "gap_duration_minutes", "missing_records").collect()))
