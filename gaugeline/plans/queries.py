@@ -15,7 +15,7 @@ from ..operators import flatten, gaps, landing, metrics, order, pivot, quality,
 from ..operators.quality import Rule
 from ..schemas import CLEANUP_AUDIT, CONNECTION_STATUS, READINGS_ENVELOPE, struct
 from ..session import work_dir
-from ..sources import envelopes, merge, tables
+from ..sources import envelopes, merge, tables, versions
 from ..streaming.delta import stream_counter_delta
 from ..streaming.health import newest, stream_health
 from ..streaming.incremental import incremental_counter_delta, incremental_pivot
@@ -646,6 +646,40 @@ def materialized_view(spark, sf_dir):
     return spark.read.schema("c_custkey bigint, c_name string, orders bigint, total double").parquet(path)
 
 
+@query("""
+WITH first AS (SELECT c_custkey, count(o_orderkey) AS orders, round(coalesce(sum(o_totalprice), 0), 2) AS total, 'first' AS note
+               FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE c_custkey % 3 <> 0 GROUP BY ALL),
+second AS (SELECT c.c_custkey, coalesce(f.orders, 0) + CASE WHEN c_custkey % 3 <> 1 THEN 1000 ELSE 0 END AS orders,
+                  coalesce(f.total, -1) AS total, coalesce(f.note, 'second') AS note
+           FROM customer c LEFT JOIN first f USING (c_custkey))
+SELECT 'begun' AS reader, * FROM first
+UNION ALL SELECT 'after a write', * FROM second
+UNION ALL SELECT 'after a failed write', * FROM second
+UNION ALL SELECT 'by number', * FROM first
+""")
+def published_versions(spark, sf_dir):
+    """What readers see of a table while it is merged into, and after a write that fails."""
+    customers, orders = I.table(spark, sf_dir, "customer"), I.table(spark, sf_dir, "orders")
+    totals = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    counted = customers.filter("c_custkey % 3 <> 0").select("c_custkey").join(totals, "c_custkey", "left")
+    root = work_dir(spark, "published")
+    versions.publish(counted.select(
+        "c_custkey", F.coalesce("orders", F.lit(0)).alias("orders"), F.coalesce("total", F.lit(0.0)).alias("total"), F.lit("first").alias("note")), root)
+    begun = versions.read_version(spark, root)
+    more = customers.filter("c_custkey % 3 <> 1").select("c_custkey").join(begun.select("c_custkey", "orders"), "c_custkey", "left")
+    more = more.select("c_custkey", (F.coalesce("orders", F.lit(0)) + 1000).alias("orders"))
+    versions.upsert_into(spark, root, more, ["c_custkey"], ["orders"], insert_defaults={"total": -1.0, "note": "second"})
+    after = versions.read_version(spark, root)
+    bad = after.withColumn("orders", F.when(F.col("c_custkey") > 5, F.raise_error(F.lit("stop")).cast("bigint")).otherwise(F.col("orders")))
+    try:
+        versions.publish(bad, root)
+    except Exception as stopped:  # the write is meant to fail, but only as told
+        if "stop" not in str(stopped):
+            raise
+    seen = {"begun": begun, "after a write": after, "after a failed write": versions.read_version(spark, root), "by number": versions.read_version(spark, root, 1)}
+    return metrics.union_all([df.withColumn("reader", F.lit(name)) for name, df in seen.items()])
+
+
 @query("""
 SELECT event_id, 'k' AS name, CAST(props->>'$.k' AS INTEGER) AS level, value AS multiplier FROM events
 """)
