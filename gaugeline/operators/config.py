@@ -316,17 +316,28 @@ def match_connections(aggregated: DataFrame, config: DataFrame, source: FactSour
     Aggregating first keeps a hot key away from the join: it meets the configuration
     as a handful of rows. Spark broadcasts the smaller side only if its size allows.
     """
-    answers, number = source.answers, F.col("_set")
-    types = {c: source.frame.schema[c].dataType for c in source.key_columns}
-    key, asked = F.when(number >= len(source.key_sets), F.lit("")), F.col("match_key")
+    return asked_of(config, source).join(keyed(aggregated, source), ["match_on", "match_key"])
+
+
+def keyed(aggregated: DataFrame, source: FactSource) -> DataFrame:
+    """``match_on`` and ``match_key`` in place of the selection and its key columns."""
+    number = F.col("_set")
+    key = F.when(number >= len(source.key_sets), F.lit(""))
     for i, keys in enumerate(source.key_sets):
         parts = [x for c in keys for x in (F.lit(PART), F.col(c).cast("string"))]
         key = F.when(number == i, F.concat(*parts[1:]) if keys else F.lit("")).otherwise(key)
+    name = F.element_at(F.array(*map(F.lit, source.answers)), number + 1)
+    return aggregated.withColumns({"match_on": name, "match_key": key}).drop("_set", *source.key_columns)
+
+
+def asked_of(config: DataFrame, source: FactSource) -> DataFrame:
+    """The connections of ``connection_predicate`` that ask this source, their keys in the types of its columns."""
+    types = {c: source.frame.schema[c].dataType for c in source.key_columns}
+    asked = F.col("match_key")
+    for keys in source.key_sets:
         if keys:  # as SQL compares: '007' is the number 7 for a column of numbers
             given = F.split("match_key", PART)
             typed = [x for j, c in enumerate(keys) for x in (F.lit(PART), F.get(given, j).try_cast(types[c]).cast("string"))]
             asked = F.when(F.col("match_on") == ",".join(keys), F.concat(*typed[1:])).otherwise(asked)
-    name = F.element_at(F.array(*map(F.lit, answers)), number + 1)
-    keyed = aggregated.withColumns({"match_on": name, "match_key": key}).drop("_set", *source.key_columns)
-    mine = config.filter((F.col("gold_table_name") == source.table) & (F.col("ts_col") == source.ts)).withColumn("match_key", asked)
-    return mine.join(keyed, ["match_on", "match_key"])
+    mine = (F.col("gold_table_name") == source.table) & (F.col("ts_col") == source.ts)
+    return config.filter(mine).withColumn("match_key", asked)

@@ -32,15 +32,28 @@ def reduced(
     First per distinct ``at``, which spreads a key with most of the rows over the tasks and counts distinct times on
     the way; then per bucket.
     """
+    return per_bucket(per_time(source, rows, bucket, at, newest, delays, nulls), ["_set", *source.key_columns], len(delays))
+
+
+def per_time(
+    source: FactSource, rows: DataFrame, bucket: Column, at: Column, newest: Column,
+    delays: Sequence[Column] = (), nulls: Column | None = None,
+) -> DataFrame:
+    """The first step of `reduced`: a row per selection, key, bucket and distinct ``at``."""
     keys = source.key_columns
     columns = {"_bucket": bucket, "_at": at, "_newest": newest, "_null": F.lit(False) if nulls is None else nulls,
                **{f"_delay_{i}": d.cast("double") for i, d in enumerate(delays)}}
     which = range(len(delays))
-    each = source.selected(rows, **columns).groupBy("_set", *keys, "_bucket", "_at").agg(
+    return source.selected(rows, **columns).groupBy("_set", *keys, "_bucket", "_at").agg(
         F.count(F.lit(1)).alias("_points"), F.count_if("_null").alias("_nulls"), F.max("_newest").alias("_newest"),
         *[F.sum(f"_delay_{i}").alias(f"_delay_sum_{i}") for i in which], *[F.count(f"_delay_{i}").alias(f"_delay_n_{i}") for i in which],
         *[F.max(f"_delay_{i}").alias(f"_delay_max_{i}") for i in which])
-    return each.groupBy("_set", *keys, "_bucket").agg(
+
+
+def per_bucket(each: DataFrame, keys: Sequence[str], n_delays: int) -> DataFrame:
+    """The second step of `reduced`; ``each`` may hold an ``_at`` once only."""
+    which = range(n_delays)
+    return each.groupBy(*keys, "_bucket").agg(
         F.sum("_points").alias("_points"), F.count("_at").alias("_distinct"), F.sum("_nulls").alias("_nulls"),
         F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.max("_newest").alias("_newest"),
         *[F.sum(f"_delay_sum_{i}").alias(f"_delay_sum_{i}") for i in which], *[F.sum(f"_delay_n_{i}").alias(f"_delay_n_{i}") for i in which],
@@ -216,7 +229,6 @@ def connection_facts(
     time, or by ``on_processing_ts`` by processing time; then hours have no edges.
     """
     start, end = window
-    interval = F.col("expected_interval_minutes")
     found = []
     for source in _readable(sources):
         ts, proc = F.col(source.ts), F.col(source.processing_ts)
@@ -235,12 +247,18 @@ def connection_facts(
         points = reduced(source, rows, F.when(inside, bucket), F.when(inside, ts), F.col(clock), [F.when(inside, d) for d in delays],
                          F.when(inside, any_null(rows, critical_cols)))
         found.append(_own_delay(match_connections(points, _configured(config), source), names))
+    return per_connection(_same_columns(found), start, on_processing_ts)
+
+
+def per_connection(found: DataFrame, start: datetime | str, on_processing_ts: bool = False) -> DataFrame:
+    """Hours, summary, newest record and edges of each connection, from buckets that were matched to it."""
+    interval = F.col("expected_interval_minutes")
     daily = F.coalesce(interval >= DAILY_MINUTES, F.lit(False)) & F.lit(not on_processing_ts)
     hour = F.date_trunc("hour", "_bucket")
     period = F.when(F.col("_bucket").isNotNull() & (interval != 0), F.when(daily, ts_lit(start)).otherwise(hour))
     edge = F.when(F.col("_first").isNotNull() & (interval > 0) & (interval < DAILY_MINUTES), F.struct("_first", "_last"))
     more = [F.max("_newest").alias("_newest")] + ([] if on_processing_ts else [F.collect_list(edge).alias("_edges")])
-    hours = _finish(_same_columns(found), period, F.when(daily, F.lit(1)).otherwise(expected_per_hour(interval)), 2 if on_processing_ts else None, more)
+    hours = _finish(found, period, F.when(daily, F.lit(1)).otherwise(expected_per_hour(interval)), 2 if on_processing_ts else None, more)
     entries = F.array_sort(F.collect_list(F.when(F.col("hour").isNotNull(), F.struct(*[n for n, _ in HOUR_FIELDS]))))
     edges = F.lit(None) if on_processing_ts else F.array_sort(F.flatten(F.collect_list("_edges")))
     return hours.groupBy("connection_id").agg(

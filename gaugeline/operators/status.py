@@ -147,6 +147,14 @@ def streaming_status(
     return _assemble(matched, sources, facts, None, as_of, run_id, "RUNNING", delayed_days, offline_days)
 
 
+def status_of_facts(
+    matched: DataFrame, sources: Sequence[FactSource], facts: DataFrame, as_of: datetime | str, run_id: str,
+    delayed_days: float = 0, offline_days: float = 1,
+) -> DataFrame:
+    """The record of `streaming_status` from facts that were gathered elsewhere, a row per connection as `per_connection` gives."""
+    return _assemble(matched, sources, facts, None, as_of, run_id, "RUNNING", delayed_days, offline_days)
+
+
 def failure_status(
     config: DataFrame,
     status: DataFrame,

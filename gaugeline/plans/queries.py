@@ -18,6 +18,7 @@ from ..session import work_dir
 from ..sources import envelopes, merge, tables, versions
 from ..streaming.delta import stream_counter_delta
 from ..streaming.health import newest, stream_health
+from ..streaming.last_seen import stream_health_from_state
 from ..streaming.incremental import incremental_counter_delta, incremental_pivot
 from ..streaming.pivot import stream_pivot
 from ..streaming.state import read_split, write_with_late
@@ -1370,7 +1371,7 @@ def local_days(spark, sf_dir):
     return local_day_window(rows, "2024-03-31 22:30:00", "zone")
 
 
-@query(f"""
+REFRESH_SQL = f"""
 WITH {CONFIG_SQL}, bound AS (SELECT max({PROC}) + INTERVAL 1 SECOND AS now FROM events),
 {PROC_HOURS_SQL.format(
     start="(SELECT date_trunc('hour', now - INTERVAL 1 DAY) FROM bound)", end="(SELECT now FROM bound)")},
@@ -1384,7 +1385,10 @@ SELECT connection_id, last_ts AS last_sync_timestamp,
        CAST(points AS INTEGER) AS data_points_24h, CAST(nulls AS INTEGER) AS null_values_24h,
        'RUNNING' AS job_state
 FROM cfg LEFT JOIN mean USING (connection_id) LEFT JOIN latest USING (connection_id), bound
-""")
+"""
+
+
+@query(REFRESH_SQL)
 def stream_health_refresh(spark, sf_dir):
     """A health refresh driven by the stream of facts."""
     out = work_dir(spark, "health")
@@ -1403,6 +1407,26 @@ def stream_health_refresh(spark, sf_dir):
     )
 
 
+@query(REFRESH_SQL)
+def stream_health_state(spark, sf_dir):
+    """The same record after four micro-batches, each of which reads its own facts and the state."""
+    out = work_dir(spark, "last-seen")
+    facts = I.facts(spark, sf_dir)
+    cuts = facts.select(F.percentile_approx(F.unix_micros("ts"), [0.25, 0.5, 0.75]).alias("c")).first()["c"] or []
+    micros, part = F.unix_micros("ts"), F.lit(0)
+    for cut in cuts:
+        part = part + (micros > cut).cast("int")
+    for k in range(len(cuts) + 1):
+        facts.filter(part == k).write.mode("append").parquet(f"{out}/facts")
+        stream_health_from_state(
+            tables.stream_table(spark, f"{out}/facts", facts.schema), lambda: I.connections(spark, sf_dir), I.FACTS, f"{out}/status",
+            f"{out}/state", f"{out}/checkpoint", ts="ts", every=None, critical_cols=["value"]).awaitTermination()
+    stored = tables.read_history(spark, f"{out}/status")
+    last = stored.agg(F.max("batch").alias("batch"))
+    return stored.join(last, "batch").select(
+        "connection_id", "last_sync_timestamp", "status", "data_points_24h", "null_values_24h", "job_state")
+
+
 @query("""
 SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, NULL::BIGINT AS errors FROM events GROUP BY ALL
 UNION ALL
