@@ -7,8 +7,9 @@ tokens, so bytes become text only where a character is complete.
 
 `Encoder` cuts a text before every white space that follows other text, and between an ASCII letter and a full stop
 or comma. No match of a byte-level pattern crosses such a place and none looks back over it, so the pieces can be encoded
-each by itself, and a piece that was seen before costs a look-up by its 64-bit hash and length. The memory of pieces is
-bounded; when it is full it starts anew.
+each by itself, and a piece that was seen before costs a look-up. Pieces of up to eight bytes are known by these bytes themselves;
+longer ones by a hash, and the bytes are compared on each hit (a piece that meets another one's hash is encoded
+straight by the library). The memory of pieces is bounded; when it is full it starts anew.
 
 Cases: null and empty texts have no ids; very long texts are encoded whole; repeated rows give repeated rows; an empty
 table gives an empty one; other columns of the input are not read. Ids depend on the text alone.
@@ -31,12 +32,14 @@ from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
-from gaugeline.llm.words import bytes_of, chunks, gather, range_hashes
+from gaugeline.llm.words import bytes_of, chunks, gather, mix, range_hashes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives each core a task already
 
-#: Pieces that a worker remembers before it starts anew; about 50 bytes each.
-REMEMBERED = 3_000_000
+#: Pieces that a worker remembers before it starts anew, and the bytes that all it keeps of them may take.
+REMEMBERED = 500_000
+REMEMBERED_BYTES = 64 << 20
+SHORT = 8
 #: Characters that Unicode calls white space, as bytes of UTF-8.
 _WHITE = [chr(c).encode() for c in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
@@ -95,54 +98,80 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """Hash and length of a piece to its run in `store`: an open-addressing table in arrays."""
+    """Key and length of a piece to its run in `store` and, if it is long, its bytes: an open-addressing table in arrays."""
 
     def __init__(self, kind: str):
         self.store, self.used, self.size = np.zeros(1 << 12, kind), 0, 0
+        self.texts, self.texts_used = np.zeros(1 << 12, np.uint8), 0
         self._resize(1 << 12)
 
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.key, self.at, self.text_at, self.count, self.length, self.store, self.texts))
+
     def _resize(self, n: int) -> None:
-        self.key, self.at = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-        self.count, self.length = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        self.key, self.at, self.text_at = np.zeros(n, np.uint64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.count, self.length = np.zeros(n, np.int32), np.zeros(n, np.int32)  # length 0: a free slot
 
-    def find(self, key: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the runs are in `store` and their lengths; -1 where unknown."""
+    def find(self, key: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The slots of the pieces, -1 where unknown."""
         mask = np.uint64(len(self.key) - 1)
         slot = (key & mask).astype(np.int64)
-        open_, at, count = np.arange(len(key)), np.full(len(key), -1), np.full(len(key), -1)
+        open_, found = np.arange(len(key)), np.full(len(key), -1)
         while len(open_):
-            here = self.key[slot[open_]]
-            hit = (here == key[open_]) & (self.length[slot[open_]] == length[open_])
-            at[open_[hit]], count[open_[hit]] = self.at[slot[open_[hit]]], self.count[slot[open_[hit]]]
-            open_ = open_[~hit & (here != 0)]
+            at = slot[open_]
+            hit = (self.key[at] == key[open_]) & (self.length[at] == length[open_])
+            found[open_[hit]] = at[hit]
+            open_ = open_[~hit & (self.length[at] != 0)]
             slot[open_] = (slot[open_] + 1) & int(mask)
-        return at, count
+        return found
 
-    def add(self, key: np.ndarray, length: np.ndarray, at: np.ndarray, count: np.ndarray) -> None:
+    def add(self, key: np.ndarray, length: np.ndarray, at: np.ndarray, count: np.ndarray, text_at: np.ndarray) -> None:
         """Distinct unknown pieces."""
         self.size += len(key)
         if self.size * 2 > len(self.key):
-            old = np.flatnonzero(self.key)
-            kept = self.key[old], self.length[old], self.at[old], self.count[old]
-            self._resize(1 << int(self.size * 4).bit_length())
+            old = np.flatnonzero(self.length)
+            kept = self.key[old], self.length[old], self.at[old], self.count[old], self.text_at[old]
+            self._resize(1 << int(self.size * 2).bit_length())
             self._put(*kept)
-        self._put(key, length, at, count)
+        self._put(key, length, at, count, text_at)
 
-    def _put(self, key, length, at, count) -> None:
+    def _put(self, key, length, at, count, text_at) -> None:
         mask = len(self.key) - 1
         slot = (key & np.uint64(mask)).astype(np.int64)
         open_ = np.arange(len(key))
         while len(open_):
-            free = open_[self.key[slot[open_]] == 0]
+            free = open_[self.length[slot[open_]] == 0]
             _, first = np.unique(slot[free], return_index=True)  # one piece for each free slot
             owner = free[first]
             self.key[slot[owner]], self.length[slot[owner]] = key[owner], length[owner]
-            self.at[slot[owner]], self.count[slot[owner]] = at[owner], count[owner]
+            self.at[slot[owner]], self.count[slot[owner]], self.text_at[slot[owner]] = at[owner], count[owner], text_at[owner]
             done = np.zeros(len(key), bool)
             done[owner] = True
             open_ = open_[~done[open_]]
             slot[open_] = (slot[open_] + 1) & mask
 
+    def keep_texts(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Append the bytes of long pieces; where each begins (0 for short ones)."""
+        kept = np.where(length > SHORT, length, 0)
+        raw, at = gather(data, start, kept), self.texts_used + np.cumsum(kept) - kept
+        end = self.texts_used + len(raw)
+        if end > len(self.texts):
+            self.texts = np.concatenate([self.texts[: self.texts_used], np.zeros(max(len(self.texts), 2 * len(raw)), np.uint8)])
+        self.texts[self.texts_used: end] = raw
+        self.texts_used = end
+        return at
+
+    def others(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """The numbers of the pieces whose slot holds another text."""
+        long = np.flatnonzero(length > SHORT)
+        if not len(long):
+            return long
+        differ = gather(data, start[long], length[long]) != gather(self.texts, self.text_at[slot[long]], length[long])
+        if not differ.any():
+            return long[:0]
+        return long[np.add.reduceat(differ, np.cumsum(length[long]) - length[long]) > 0]
+
     def keep(self, ids: np.ndarray) -> int:
         """Append ids to the store; where they begin."""
         at, self.used = self.used, self.used + len(ids)
@@ -160,7 +189,7 @@ class Encoder:
         self.tokenizer, self.kind, self.pieces = tokenizer, kind, Pieces(kind)
 
     def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray) -> None:
-        white = white_space(data)
+        white, pieces = white_space(data), self.pieces
         joined = white[start] & ~white[end - 1]  # such pieces, put one after the other, stay pieces
         for at in range(0, int(joined.sum()), 50_000):
             which = np.flatnonzero(joined)[at: at + 50_000]
@@ -168,32 +197,55 @@ class Encoder:
             found = self.tokenizer.encode("".join(texts), add_special_tokens=False)
             edges = np.cumsum([0, *map(len, texts)])
             first = np.searchsorted(np.array([a for a, _ in found.offsets]), edges)
-            self.pieces.add(key[which], (end - start)[which], self.pieces.keep(np.array(found.ids)) + first[:-1], np.diff(first))
+            length = (end - start)[which]
+            pieces.add(key[which], length, pieces.keep(np.array(found.ids)) + first[:-1], np.diff(first), pieces.keep_texts(data, start[which], length))
         which = np.flatnonzero(~joined)
         if len(which):
-            found = self.tokenizer.encode_batch([bytes(data[a:b]).decode() for a, b in zip(start[which], end[which])], add_special_tokens=False)
-            count = np.array([len(e.ids) for e in found])
-            ids = np.array([i for e in found for i in e.ids])
-            self.pieces.add(key[which], (end - start)[which], self.pieces.keep(ids) + np.cumsum(count) - count, count)
+            at, count = self._straight(data, start[which], end[which])
+            length = (end - start)[which]
+            pieces.add(key[which], length, at, count, pieces.keep_texts(data, start[which], length))
+
+    def _straight(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces by the library, one by one: where their ids are in the store, and how many."""
+        found = self.tokenizer.encode_batch([bytes(data[a:b]).decode() for a, b in zip(start, end)], add_special_tokens=False)
+        count = np.array([len(e.ids) for e in found])
+        return self.pieces.keep(np.array([i for e in found for i in e.ids])) + np.cumsum(count) - count, count
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin in them (one more entry than texts)."""
-        if self.pieces.size > REMEMBERED:
+        if self.pieces.size > REMEMBERED or self.pieces.nbytes > REMEMBERED_BYTES:
             self.pieces = Pieces(self.kind)
+        pieces = self.pieces
         data, offsets = bytes_of(texts)
         start = piece_starts(data, offsets)
         end = np.append(start[1:], len(data)) if len(start) else start
-        key, length = range_hashes(data, start, end) | np.uint64(1), end - start
-        at, count = self.pieces.find(key, length)
-        unknown = np.flatnonzero(count < 0)
+        length = end - start
+        key = piece_keys(data, start, length)
+        slot = pieces.find(key, length)
+        unknown = np.flatnonzero(slot < 0)
         if len(unknown):
             new = unknown[_distinct(key[unknown], length[unknown])]
             self._learn(data, start[new], end[new], key[new])
-            at[unknown], count[unknown] = self.pieces.find(key[unknown], length[unknown])
-        ids = gather(self.pieces.store, at, count)
+            slot = pieces.find(key, length)
+        at, count = pieces.at[slot], pieces.count[slot].astype(np.int64)
+        other = pieces.others(data, start, length, slot)
+        if len(other):
+            at[other], count[other] = self._straight(data, start[other], end[other])
+        ids = gather(pieces.store, at, count)
         return ids, np.append(0, np.cumsum(count))[np.searchsorted(start, offsets)]
 
 
+def piece_keys(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """One number per piece: for up to SHORT bytes these bytes, mixed without loss; for longer ones a hash."""
+    key = range_hashes(data, start, start + length)
+    short = np.flatnonzero(length <= SHORT)
+    ahead = np.concatenate([data, np.zeros(SHORT, np.uint8)])
+    raw = np.lib.stride_tricks.sliding_window_view(ahead, SHORT)[start[short]].view("<u8").ravel()
+    with np.errstate(over="ignore"):
+        key[short] = mix(raw & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * (SHORT - length[short])).astype(np.uint64)))
+    return key
+
+
 def _distinct(key: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The places of the first of each distinct (key, length)."""
     order = np.lexsort((length, key))

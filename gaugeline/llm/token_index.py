@@ -2,9 +2,9 @@
 
 Files. Documents are sorted by key over the cluster and encoded; each gets an end id. A shard holds consecutive documents: their ids
 one after the other, little-endian, two bytes each where the vocabulary allows it, else four; beside them the lengths,
-two 64-bit hashes of each key, and the number of ids before the shard in its part (a part is what one task wrote). A
-shard closes at `SHARD_BYTES`; a longer document has its own. Shards are rows of a Parquet table, so any store that Spark
-writes to can hold them.
+the keys with two 64-bit hashes of each, and the number of ids before the shard in its part (a part is what one task wrote). A
+shard closes at `SHARD_BYTES`, small enough that neither the JVM nor the Parquet writer holds large arrays; a longer document
+has its own. Shards are rows of a Parquet table, so any store that Spark writes to can hold them.
 
 Index. Keys are dealt into buckets of about `BUCKET_KEYS` by hash. Per bucket a minimal perfect hash gives each key its own
 number below the number of keys: at each level a key hashes to a bit; bits that one key alone asks for are set, the
@@ -12,7 +12,7 @@ other keys go to the next level; a key's number is the count of set bits before
 fingerprint of the key, which tells strangers, and part, shard, offset and length. A look-up costs a few hashes.
 
 Cases: null and empty texts are the end id alone; very long texts are encoded whole; null keys are written first and
-are not in the index; of rows that repeat a key all are written and the first is in the index; an empty table
+are not in the index; of rows that repeat a key all are written and read back, and the first is in the index; an empty table
 gives empty files. Other columns are not read.
 """
 
@@ -31,7 +31,7 @@ from gaugeline.llm.byte_bpe import file_encoder
 from gaugeline.llm.tables import stored
 from gaugeline.llm.words import chunks, constants, mix
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 18
 BUCKET_KEYS = 4096
 END = 2
 
@@ -76,7 +76,7 @@ def _fingerprint(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 # --- files
 
 def write_shards(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
-    """The stored shards: part, seq, before, first, lengths, ones, twos, width, payload."""
+    """The stored shards: part, seq, before, first, lengths, ones, twos, width, payload, keys."""
     kind = docs.select(key).schema[0].dataType.simpleString()
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     dealt = slim.repartitionByRange("key").sortWithinPartitions("key")
@@ -93,7 +93,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text
             payload = b"".join(x for r in held for x in (r[3], last))
             lengths = [len(r[3]) // len(last) + 1 for r in held]
             row = {"part": [part], "seq": [seq], "before": [before], "first": pa.array([held[0][0]], kind_), "lengths": [lengths],
-                   "ones": [[r[1] for r in held]], "twos": [[r[2] for r in held]], "width": [len(last)], "payload": [payload]}
+                   "ones": [[r[1] for r in held]], "twos": [[r[2] for r in held]], "width": [len(last)], "payload": [payload],
+                   "keys": pa.array([[r[0] for r in held]], pa.list_(kind_))}
             seq, before, held = seq + 1, before + sum(lengths), []
             return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(row.values(), types)], names=list(row))
 
@@ -101,7 +102,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text
         kind_ = pa.int64()
         for batch in batches:
             kind_ = batch.schema.field(0).type
-            types = [pa.int32(), pa.int64(), pa.int64(), kind_, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+            types = [pa.int32(), pa.int64(), pa.int64(), kind_, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.binary(), None]
             for piece in chunks(batch, "text"):
                 ids, at = encoder.encode(piece.column(1))
                 for i, (k, one, two) in enumerate(zip(*(piece.column(c).to_pylist() for c in (0, 2, 3)))):
@@ -115,7 +116,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text
             yield shard()
 
     return stored(dealt.mapInArrow(run, f"part int, seq bigint, before bigint, first {kind}, lengths array<bigint>, ones array<bigint>, "
-                                        "twos array<bigint>, width int, payload binary"), "shards")
+                                        f"twos array<bigint>, width int, payload binary, keys array<{kind}>"), "shards")
 
 
 def part_starts(shards: DataFrame) -> DataFrame:
@@ -129,7 +130,8 @@ def part_starts(shards: DataFrame) -> DataFrame:
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
-    """part, seq, place, n_tokens, ids_crc32 of every document in the payloads; the checksum is of 32-bit little-endian ids."""
+    """key, part, seq, place, n_tokens, ids_crc32 of every document in the payloads; the checksum is of 32-bit little-endian ids."""
+    kind = shards.schema["keys"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,11 +142,12 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 ends = np.cumsum(lengths)
                 sums = [zlib.crc32(ids[b - n: b].astype("<u4").tobytes()) for b, n in zip(ends, lengths)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ends), part, np.int32)), pa.array(np.full(len(ends), seq, np.int64)), pa.array(ends - lengths),
-                     pa.array(lengths), pa.array(sums, pa.int64())], names=["part", "seq", "place", "n_tokens", "ids_crc32"])
+                    [batch.column(5)[i].values, pa.array(np.full(len(ends), part, np.int32)), pa.array(np.full(len(ends), seq, np.int64)),
+                     pa.array(ends - lengths), pa.array(lengths), pa.array(sums, pa.int64())],
+                    names=["key", "part", "seq", "place", "n_tokens", "ids_crc32"])
 
-    return shards.select("part", "seq", "lengths", "width", "payload").mapInArrow(
-        run, "part int, seq bigint, place bigint, n_tokens bigint, ids_crc32 bigint")
+    return shards.select("part", "seq", "lengths", "width", "payload", "keys").mapInArrow(
+        run, f"key {kind}, part int, seq bigint, place bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 # --- index
@@ -171,9 +174,6 @@ def build_index(shards: DataFrame) -> tuple[DataFrame, int]:
         bucket = table["bucket"][0].as_py()
         table = table.sort_by([(c, "ascending") for c in ("one", "two", "part", "seq", "place")])
         one, two = (table[c].to_numpy().view(np.uint64) for c in ("one", "two"))
-        first = np.ones(len(one), bool)
-        first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        one, two, table = one[first], two[first], table.filter(pa.array(first))
         bits, sizes = build_hash(one, two)
         order = np.argsort(number_of(one, two, bits, sizes))
         columns = dict(zip(_ROWS, (_fingerprint(one, two), *(table[c].to_numpy() for c in ("part", "seq", "place", "n")))))
@@ -183,7 +183,10 @@ def build_index(shards: DataFrame) -> tuple[DataFrame, int]:
 
     null = F.xxhash64(F.lit(None).cast("long")), F.xxhash64(F.lit(None).cast("long"), F.lit(1))
     rows = shards.select("part", "seq", "ones", "twos", "lengths").mapInArrow(places, "part int, seq bigint, one bigint, two bigint, place bigint, n bigint")
-    rows = rows.filter(~((F.col("one") == null[0]) & (F.col("two") == null[1]))).withColumn("bucket", F.pmod("one", F.lit(buckets)))
+    rows = rows.filter(~((F.col("one") == null[0]) & (F.col("two") == null[1])))
+    # A repeated key is one row before it meets its bucket, however often it comes.
+    rows = rows.groupBy("one", "two").agg(F.min(F.struct("part", "seq", "place", "n")).alias("at")).select(
+        "one", "two", "at.*", F.pmod("one", F.lit(buckets)).alias("bucket"))
     return stored(rows.groupBy("bucket").applyInArrow(build, _INDEX), "key-index"), buckets
 
 
@@ -226,10 +229,12 @@ def look_up(keys: DataFrame, index: DataFrame, buckets: int, key: str = "doc_id"
 
 
 def write_and_read(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
-    """Per key, through index and files: start (ids of all documents before it), n_tokens, ids_crc32."""
+    """Per document, from the files: its key, start (ids of all documents before it), n_tokens, ids_crc32, and indexed: whether the index
+    finds this very place by the key. Null keys and all but the first row of a repeated key are not in the index."""
     shards = write_shards(docs, tokenizer_path, key, text, end)
     index, buckets = build_index(shards)
-    places = look_up(docs.select(key), index, buckets, key).drop("n_tokens")
+    places = look_up(docs.select(key), index, buckets, key).select(F.col(key).alias("found"), "part", "seq", "place")
     before = shards.select("part", "seq", "before").join(part_starts(shards), "part").select("part", "seq", (F.col("start") + F.col("before")).alias("base"))
-    rows = places.join(read_shards(shards), ["part", "seq", "place"]).join(before, ["part", "seq"])
-    return rows.select(key, (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+    rows = read_shards(shards).join(places, ["part", "seq", "place"], "left").join(before, ["part", "seq"])
+    return rows.select(F.coalesce("found", "key").alias(key), (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32",
+                       F.coalesce(F.col("found") == F.col("key"), F.lit(False)).alias("indexed"))
