@@ -340,6 +340,19 @@ def list_landed(spark, sf_dir):
     )
 
 
+@query("""
+SELECT event_type AS entity, strftime(ts, '%Y%m%d') AS day, count(*) AS envelopes
+FROM events WHERE event_type <> 'view' AND strftime(ts, '%Y%m%d') BETWEEN '20240105' AND '20240110' GROUP BY ALL
+""")
+def scan_landed(spark, sf_dir):
+    """Envelopes of some entities and days; the folders of all others are left alone."""
+    root = work_dir(spark, "pruned")
+    land_events(spark, sf_dir, root)
+    rows = envelopes.scan_landed(
+        spark, root, READINGS_ENVELOPE, F.col("entity") != "view", F.col("kind") == "data", F.col("day").between("20240105", "20240110"), one_per_file=False)
+    return rows.groupBy("entity", "day").agg(F.count(F.lit(1)).alias("envelopes"))
+
+
 @query("""
 SELECT CAST(user_id AS INTEGER) AS "accountId", CAST(event_id AS INTEGER) AS "energyassetId",
        CASE event_type WHEN 'view' THEN 10 WHEN 'click' THEN 26 ELSE 27 END AS energyassetcategory,
@@ -1146,6 +1159,51 @@ def detect_gaps(spark, sf_dir):
     return gaps.detect_gaps(source, config, I.AS_OF)
 
 
+PAUSES_SQL = """
+    pauses AS (
+        SELECT 'sensor_' || user_id AS connection_id, ts AS s, ts + to_minutes(CAST(floor(value) AS INTEGER) * 5) AS e
+        FROM events WHERE event_type IN ('error', 'view')
+    ),
+    marked AS (
+        SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY connection_id ORDER BY s, e
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new
+        FROM pauses WHERE s < e
+    ),
+    islands AS (
+        SELECT connection_id, min(s) AS s, max(e) AS e
+        FROM (SELECT *, sum(new) OVER (PARTITION BY connection_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM marked)
+        GROUP BY connection_id, island
+    )
+"""
+
+
+@query(f"""
+WITH {CONFIG_SQL}, {gaps_sql()}, {PAUSES_SQL},
+met AS (
+    SELECT g.connection_id, g.gap_start, g.gap_end, p.s, p.e FROM gaps g JOIN islands p
+    ON p.connection_id = g.connection_id AND p.s < g.gap_end AND p.e > g.gap_start
+),
+pieces AS (
+    SELECT connection_id, coalesce(lag(e) OVER (PARTITION BY connection_id, gap_start ORDER BY s), gap_start) AS gap_start, s AS gap_end FROM met
+    UNION ALL SELECT connection_id, max(e), gap_end FROM met GROUP BY connection_id, gap_start, gap_end
+    UNION ALL SELECT connection_id, gap_start, gap_end FROM gaps g
+    WHERE NOT EXISTS (SELECT 1 FROM met m WHERE m.connection_id = g.connection_id AND m.gap_start = g.gap_start)
+)
+SELECT connection_id, iv AS expected_interval_minutes, gap_start, gap_end,
+       CAST(round_even((floor(epoch(gap_end)) - floor(epoch(gap_start))) / 60.0, 0) AS INTEGER) AS gap_duration_minutes,
+       CAST(greatest(0, round_even((floor(epoch(gap_end)) - floor(epoch(gap_start))) / 60.0 / iv, 0) - 1) AS INTEGER) AS missing_records
+FROM pieces JOIN cfg USING (connection_id) WHERE (floor(epoch(gap_end)) - floor(epoch(gap_start))) / 60.0 > iv * 1.5
+""")
+def masked_gaps(spark, sf_dir):
+    """Gaps less planned downtime that overlaps, touches and nests."""
+    source, config = _health_inputs(spark, sf_dir)
+    found = gaps.detect_gaps(source, config, I.AS_OF).join(config.select("connection_id", "expected_interval_minutes"), "connection_id")
+    pauses = I.table(spark, sf_dir, "events").filter(F.col("event_type").isin("error", "view")).select(
+        F.format_string("sensor_%s", F.col("user_id").cast("string")).alias("connection_id"), F.col("ts").alias("pause_start"),
+        (F.col("ts") + F.make_dt_interval(mins=(F.floor("value") * 5).cast("int"))).alias("pause_end"))
+    return windows.masked_gaps(found, pauses)
+
+
 @query(f"""
 WITH {CONFIG_SQL}, {gaps_sql()}
 SELECT connection_id, CAST(count(*) OVER (PARTITION BY connection_id) AS INTEGER) AS data_gap_count,

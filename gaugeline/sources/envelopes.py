@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -200,16 +203,91 @@ def write_envelopes(df: DataFrame, root: str, entity: str, kind: str, day: str)
     balanced.write.mode("append").partitionBy("entity", "kind", "day").text(root)
 
 
-def list_landed(spark: SparkSession, root: str) -> DataFrame:
+def _folder_store(path: str):
+    """The store of a path, as Arrow opens it, and the path on it."""
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace(":/", ":///", 1))
+
+
+def _named(name: str) -> str:
+    """The value in a folder name: 'a' for 'a' and for 'entity=a'."""
+    return unquote(name.split("=", 1)[1]) if "=" in name else name
+
+
+def landed_folders(
+    spark: SparkSession, root: str, entity: Column | None = None, kind: Column | None = None, day: Column | None = None
+) -> DataFrame:
+    """The folders of files under ``root``: folder, entity, kind, day.
+
+    The conditions, each on the column of its name, hold before anything below is touched: only the entities are listed
+    by the driver; kinds and days are listed by the tasks, for the entities that are wanted.
+    """
+    store, base = _folder_store(root)
+    entities = [(f.path, _named(f.base_name)) for f in store.get_file_info(fs.FileSelector(base, allow_not_found=True)) if f.type == fs.FileType.Directory]
+    wanted = spark.createDataFrame(entities, "folder string, entity string")
+    wanted = wanted.filter(entity) if entity is not None else wanted
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside, _ = _folder_store(root)
+        for batch in batches:
+            found = []
+            for folder, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for k in inside.get_file_info(fs.FileSelector(folder)):
+                    if k.type == fs.FileType.Directory and _named(k.base_name) in ("data", "metadata"):
+                        found += [(d.path, name, _named(k.base_name), _named(d.base_name)) for d in inside.get_file_info(fs.FileSelector(k.path))
+                                  if d.type == fs.FileType.Directory]
+            columns = list(zip(*found)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], names=["folder", "entity", "kind", "day"])
+
+    tasks = max(1, min(len(entities), spark.sparkContext.defaultParallelism))
+    folders = wanted.repartition(tasks).mapInArrow(below, "folder string, entity string, kind string, day string")
+    for condition in (kind, day):
+        folders = folders.filter(condition) if condition is not None else folders
+    return folders
+
+
+def list_landed(
+    spark: SparkSession, root: str, entity: Column | None = None, kind: Column | None = None, day: Column | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
     """Files under ``root`` with size, modification time, entity, kind and day.
 
-    Both ``entity=a/kind=data/day=20240101`` and ``a/data/20240101`` are understood.
-    Only the listing is read, never the contents.
+    Both ``entity=a/kind=data/day=20240101`` and ``a/data/20240101`` are understood. The listing is spread over
+    ``tasks`` by folder, and ``entity``, ``kind`` and ``day`` are conditions that leave whole folders out
+    (see `landed_folders`). Contents are never read. Hidden files are left out.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", F.col("modificationTime").alias("modified_at"), F.col("length").alias("bytes"))
-    )
-    layout = r"/(?:entity=)?([^/=]+)/(?:kind=)?(data|metadata)/(?:day=)?(\d{8})/[^/]+$"
-    part = [F.nullif(F.regexp_extract("path", layout, i), F.lit("")) for i in (1, 2, 3)]
-    return files.select("*", part[0].alias("entity"), part[1].alias("kind"), part[2].alias("day"))
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside, _ = _folder_store(root)
+        scheme = root.split(":", 1)[0] + ":" if ":" in root else "file:"
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                found = [f for f in inside.get_file_info(fs.FileSelector(row[0])) if f.type == fs.FileType.File and f.base_name[:1] not in "._"]
+                n = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{scheme}{f.path}" for f in found], pa.string()), pa.array([f.mtime for f in found], pa.timestamp("us", "UTC")),
+                     pa.array([f.size for f in found], pa.int64()), *(pa.array([v] * n, pa.string()) for v in row[1:])],
+                    names=["path", "modified_at", "bytes", "entity", "kind", "day"])
+
+    folders = landed_folders(spark, root, entity, kind, day)
+    return folders.repartition(tasks or max(1, spark.sparkContext.defaultParallelism)).mapInArrow(
+        files, "path string, modified_at timestamp, bytes bigint, entity string, kind string, day string")
+
+
+def scan_landed(
+    spark: SparkSession, root: str, schema: StructType | str, entity: Column | None = None, kind: Column | None = None, day: Column | None = None,
+    one_per_file: bool = True,
+) -> DataFrame:
+    """Envelopes of the folders that the conditions leave, as a batch with entity, kind and day; other folders are not opened.
+
+    The driver holds the chosen folders, not their files.
+    """
+    schema = struct(schema) if isinstance(schema, str) else schema
+    folders = landed_folders(spark, root, entity, kind, day).select("folder").collect()
+    columns = StructType([*schema.fields, *struct("entity string, kind string, day string").fields])
+    if not folders:
+        return spark.createDataFrame([], columns)
+    scheme = root.split(":", 1)[0] + ":" if ":" in root else ""
+    rows = spark.read.schema(schema).option("multiLine", one_per_file).option("recursiveFileLookup", True).json([f"{scheme}{r['folder']}" for r in folders])
+    layout = r"/(?:entity=)?([^/=]+)/(?:kind=)?(data|metadata)/(?:day=)?([^/=]+)/[^/]+$"
+    part = [F.url_decode(F.replace(F.regexp_extract(F.col("_metadata.file_path"), layout, i), F.lit("+"), F.lit("%2B"))) for i in (1, 2, 3)]
+    return rows.select(*schema.names, *[p.alias(n) for p, n in zip(part, ("entity", "kind", "day"))])
