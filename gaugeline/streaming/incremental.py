@@ -2,43 +2,106 @@
 
 These give the rows of the stateful operators without per-key Python: every step is a
 join, an aggregation or a window over the micro-batch, so the number of keys, and how
-unevenly rows are spread over them, matter little. State is a plain table with one row per
-key, written anew by every micro-batch.
+unevenly rows are spread over them, matter little.
+
+State is a row per key. A micro-batch writes only the keys it has changed, to a log; every `COMPACT_EVERY` micro-batches the
+log is merged into the base, of which only the touched hash buckets are written anew. So what a micro-batch writes grows
+with the micro-batch, not with the number of keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.order import Order, counter_delta
 from ..operators.pivot import pivot_categories
+from ..sources import versions
 
 Step = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 
+COMPACT_EVERY = 10
+BUCKETS = 64
+
+
+def read_state(spark: SparkSession, state_path: str, keys: Sequence[str], before: int) -> DataFrame | None:
+    """The state that the micro-batches before ``before`` left: the base, and the changes logged since."""
+    upto = versions.about_version(spark, f"{state_path}/base").get("upto", -1)
+    logs = [f"{state_path}/log/batch={n}" for n in range(upto + 1, before)]
+    parts = ([versions.read_parts(spark, f"{state_path}/base")] if upto >= 0 else []) + ([spark.read.parquet(*logs)] if logs else [])
+    if not parts:
+        return None
+    columns = [c for c in parts[-1].columns if c not in ("_bucket", "_batch")]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    newest = F.max_by(F.struct(*[c for c in columns if c not in keys]), F.struct("_last_time", "_batch"))
+    return rows.groupBy(*keys).agg(newest.alias("_s")).select(*keys, "_s.*").select(*columns)
+
+
+def log_state(changed: DataFrame, state_path: str, keys: Sequence[str], batch_id: int) -> None:
+    """Keep the keys that a micro-batch has changed."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    changed.withColumns({"_bucket": bucket, "_batch": F.lit(batch_id)}).write.mode("overwrite").parquet(f"{state_path}/log/batch={batch_id}")
+
+
+def compact_state(spark: SparkSession, state_path: str, keys: Sequence[str], before: int, forget_before: datetime | None = None) -> list[int]:
+    """Merge the log of the micro-batches before ``before`` into the base and give the buckets that were written.
+
+    Called at the start of a micro-batch, so a repeated one finds the same state. ``forget_before`` drops silent keys of these buckets.
+    """
+    upto = versions.about_version(spark, f"{state_path}/base").get("upto", -1)
+    logs = [f"{state_path}/log/batch={n}" for n in range(upto + 1, before)]
+    if not logs:
+        return []
+    touched = sorted(r[0] for r in spark.read.parquet(*logs).select("_bucket").distinct().collect())
+    state = read_state(spark, state_path, keys, before)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    merged = state.withColumns({"_bucket": bucket, "_batch": F.lit(before - 1)}).filter(F.col("_bucket").isin(touched))
+    if forget_before is not None:
+        merged = merged.filter(F.col("_last_time") >= F.lit(forget_before))
+    versions.publish_parts(merged.repartition("_bucket"), f"{state_path}/base", "_bucket", about={"upto": before - 1})
+    return touched
+
+
+def _reaching(spark: SparkSession, state_path: str, before: int, low: datetime, high: datetime) -> list[int]:
+    """Earlier micro-batches whose accepted rows reach into a range of times."""
+    marks = spark.read.schema("low timestamp, high timestamp, batch bigint").parquet(f"{state_path}/reach").filter(F.col("batch") < before)
+    near = marks.filter((F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)))
+    return sorted(r["batch"] for r in near.select("batch").collect())
+
+
 def run_with_state(
-    stream: DataFrame, step: Step, next_state: Step, path: str, state_path: str, checkpoint: str,
-    identity: Sequence[str], values: Sequence[str],
+    stream: DataFrame, step: Step, changes: Step, path: str, state_path: str, checkpoint: str,
+    keys: Sequence[str], ts: str, values: Sequence[str], horizon: str,
 ) -> None:
     """Run once over what is new.
 
     For each micro-batch ``step(batch, state)`` gives the rows to store, marked with
-    ``is_late``, and ``next_state(accepted, state)`` the state after it. Both are written to
+    ``is_late``, and ``changes(accepted, state)`` the state of the keys it has changed. Both are written to
     folders with the number of the micro-batch, so one that is repeated after a failure
     starts from the same state and replaces what it had written. Late rows that say nothing new
-    are repeats of a fetch and go: those for which a row accepted before has the same
-    ``identity``, and the same value in each of the ``values`` columns that the late row fills.
+    are repeats of a fetch and go: those for which a row accepted before has the same keys and time
+    and the same value in each of the ``values`` columns that the late row fills. They are looked for only if there are late
+    rows, and only in the micro-batches that reach into their times. Keys silent for two horizons are forgotten.
     """
+    identity = [*keys, ts]
 
     def new_late(rows: DataFrame, batch_id: int) -> DataFrame:
-        schema = T.StructType([*rows.schema, T.StructField("batch", T.LongType())])
-        before = rows.sparkSession.read.schema(schema).parquet(path)
-        accepted = before.filter((F.col("batch") < batch_id) & ~F.col("is_late"))
-        seen = accepted.select(*identity, F.lit(True).alias("is_late"), *(F.col(v).alias(f"_seen_{v}") for v in values))
+        spark, late = rows.sparkSession, F.when(F.col("is_late"), F.col(ts))
+        low, high = rows.agg(F.min(late), F.max(late)).first()
+        if low is None:
+            return rows
+        near = [f"{path}/batch={n}/is_late=false" for n in _reaching(spark, state_path, batch_id, low, high)]
+        if not near:
+            return rows
+        before = spark.read.schema(T.StructType([f for f in rows.schema if f.name != "is_late"])).parquet(*near)
+        before = before.filter(F.col(ts).between(F.lit(low), F.lit(high)))
+        seen = before.select(*identity, F.lit(True).alias("is_late"), *(F.col(v).alias(f"_seen_{v}") for v in values))
         told = F.lit(True)
         for c in [*identity, "is_late"]:
             told = told & (rows[c] == seen[c])
@@ -48,14 +111,23 @@ def run_with_state(
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = spark.read.parquet(f"{state_path}/batch={batch_id - 1}") if batch_id else None
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            before = read_state(spark, state_path, keys, batch_id)
+            edge = before.agg(F.max("_last_time") - F.expr(f"INTERVAL {horizon}") * 2).first()[0]
+            compact_state(spark, state_path, keys, batch_id, edge)
+        state = read_state(spark, state_path, keys, batch_id)
         target = f"{path}/batch={batch_id}"
         rows = step(batch, state)
-        rows = new_late(rows, batch_id) if batch_id else rows
-        rows.write.mode("overwrite").partitionBy("is_late").parquet(target)
+        if batch_id:  # looked at for late rows, then written
+            rows = rows.persist()
+            new_late(rows, batch_id).write.mode("overwrite").partitionBy("is_late").parquet(target)
+            rows.unpersist()
+        else:
+            rows.write.mode("overwrite").partitionBy("is_late").parquet(target)
         stored = spark.read.schema(rows.schema).parquet(target)
         accepted = stored.filter(~F.col("is_late"))
-        next_state(accepted, state).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+        log_state(changes(accepted, state), state_path, keys, batch_id)
+        accepted.agg(F.min(ts).alias("low"), F.max(ts).alias("high")).write.mode("overwrite").parquet(f"{state_path}/reach/batch={batch_id}")
 
     (
         stream.writeStream.foreachBatch(advance)
@@ -78,23 +150,13 @@ def _with_last(batch: DataFrame, state: DataFrame | None, keys: Sequence[str], t
             "_last_value": F.lit(None).cast(value_type), "_last_time": F.lit(None).cast("timestamp"),
             "is_late": F.lit(False),
         })
-    edge = state.agg((F.max("_last_time") - F.expr(f"INTERVAL {horizon}")).alias("edge")).first()["edge"]
+    newest = F.max("_last_time")
+    edge, gone = state.agg(newest - F.expr(f"INTERVAL {horizon}"), newest - F.expr(f"INTERVAL {horizon}") * 2).first()
+    state = state.filter(F.col("_last_time") >= F.lit(gone))  # keys silent for two horizons are forgotten
     behind = (F.col(ts) <= F.col("_last_time")) | (F.col(ts) < F.lit(edge))
     return batch.join(state, list(keys), "left").withColumn("is_late", F.coalesce(behind, F.lit(False)))
 
 
-def _merge_state(newest: DataFrame, state: DataFrame | None, keys: Sequence[str], horizon: str) -> DataFrame:
-    """New last readings over old ones; keys silent for two horizons are forgotten."""
-    if state is None:
-        return newest
-    old = state.select(*keys, F.struct("_last_value", "_last_time").alias("_old"))
-    new = newest.select(*keys, F.struct("_last_value", "_last_time").alias("_new"))
-    merged = new.join(old, list(keys), "full").select(*keys, F.coalesce("_new", "_old").alias("_s")).select(*keys, "_s.*")
-    both = new.select("_new._last_time").union(old.select("_old._last_time"))
-    edge = both.agg((F.max("_last_time") - F.expr(f"INTERVAL {horizon}") * 2).alias("edge")).first()["edge"]
-    return merged if edge is None else merged.filter(F.col("_last_time") >= F.lit(edge))
-
-
 def incremental_counter_delta(
     stream: DataFrame,
     keys: Sequence[str],
@@ -125,13 +187,10 @@ def incremental_counter_delta(
         )
         return marked.withColumn(out, F.when(~F.col("is_late"), F.col(out))).drop("_last_value", "_last_time")
 
-    def next_state(accepted: DataFrame, state: DataFrame | None) -> DataFrame:
-        newest = accepted.groupBy(*keys).agg(
-            F.max_by(counter, ts).alias("_last_value"), F.max(ts).alias("_last_time")
-        )
-        return _merge_state(newest, state, keys, horizon)
+    def changes(accepted: DataFrame, state: DataFrame | None) -> DataFrame:
+        return accepted.groupBy(*keys).agg(F.max_by(counter, ts).alias("_last_value"), F.max(ts).alias("_last_time"))
 
-    run_with_state(stream, step, next_state, path, state_path, checkpoint, [*keys, ts], [counter])
+    run_with_state(stream, step, changes, path, state_path, checkpoint, keys, ts, [counter], horizon)
 
 
 def incremental_pivot(
@@ -154,9 +213,8 @@ def incremental_pivot(
         rows = _with_last(batch.filter(F.col(ts).isNotNull()), state, keys, ts, "double", horizon)
         return pivot_categories(rows, [*keys, ts, "is_late"], category, value, mapping, order, drift)
 
-    def next_state(accepted: DataFrame, state: DataFrame | None) -> DataFrame:
+    def changes(accepted: DataFrame, state: DataFrame | None) -> DataFrame:
         newest = accepted.groupBy(*keys).agg(F.max(ts).alias("_last_time"))
-        newest = newest.withColumn("_last_value", F.lit(None).cast("double"))
-        return _merge_state(newest.select(*keys, "_last_value", "_last_time"), state, keys, horizon)
+        return newest.withColumn("_last_value", F.lit(None).cast("double"))
 
-    run_with_state(stream, step, next_state, path, state_path, checkpoint, [*keys, ts], [*mapping.values(), *([drift] if drift else [])])
+    run_with_state(stream, step, changes, path, state_path, checkpoint, keys, ts, [*mapping.values(), *([drift] if drift else [])], horizon)
