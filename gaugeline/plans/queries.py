@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
@@ -17,6 +17,7 @@ from ..schemas import CLEANUP_AUDIT, CONNECTION_STATUS, READINGS_ENVELOPE, struc
 from ..session import work_dir
 from ..sources import envelopes, merge, tables, versions
 from ..streaming.delta import stream_counter_delta
+from ..streaming.heal import heal_counter_delta, publish_fact, read_fact
 from ..streaming.health import newest, stream_health
 from ..streaming.last_seen import stream_health_from_state
 from ..streaming.incremental import incremental_counter_delta, incremental_pivot
@@ -154,6 +155,66 @@ def counter_delta_incremental(spark, sf_dir):
     return read_split(spark, f"{out}/table", schema)
 
 
+@query("""
+SELECT event_type, user_id, ts, value, event_id,
+       CASE WHEN value >= lag(value) OVER w AND floor(epoch(ts)) - floor(epoch(lag(ts) OVER w)) <= 172800
+            THEN value - lag(value) OVER w END AS "interval"
+FROM events WINDOW w AS (PARTITION BY event_type, user_id ORDER BY ts)
+""")
+def late_heal(spark, sf_dir):
+    """A fact published without a tenth of the readings, which come late and are healed in."""
+    rows = I.table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "value", "event_id")
+    keys, late = ["event_type", "user_id"], F.col("event_id") % 10 == 0
+    root = work_dir(spark, "healed")
+    publish_fact(order.counter_delta(rows.filter(~late), keys, "ts", "value", max_gap_seconds=172_800), root, "ts")
+    heal_counter_delta(spark, root, rows.filter(late), keys, "ts", "value", max_gap_seconds=172_800)
+    return read_fact(spark, root).drop("event_date")
+
+
+MOVING = 6  # micro-batches
+MOVING_HOURS = 36  # a horizon short enough for keys to fall silent
+
+
+def _batch_number() -> str:
+    """The micro-batch of an event: by time, but every ninth comes with the next but one."""
+    return f"least({MOVING - 1}, CAST(floor((epoch(ts) - epoch(TIMESTAMP '2024-01-01')) / 86400 / 5) AS BIGINT) + CASE WHEN event_id % 9 = 0 THEN 2 ELSE 0 END)"
+
+
+def _moving_sql() -> str:
+    """Each micro-batch against what the ones before have left: last accepted reading per key, the newest time of all, and keys
+    that two horizons of silence have made forgotten."""
+    parts = [f"ev AS (SELECT event_type, user_id, ts, value, event_id, {_batch_number()} AS batch FROM events)",
+             "s0 AS (SELECT event_type, user_id, ts AS last_ts, value AS last_v FROM ev WHERE FALSE)"]
+    for b in range(MOVING):
+        parts.append(f"""
+        r{b} AS (SELECT e.*, l.last_ts, l.last_v, coalesce(e.ts <= l.last_ts, FALSE)
+                 OR coalesce(e.ts < (SELECT max(last_ts) - INTERVAL {MOVING_HOURS} HOUR FROM s{b}), FALSE) AS is_late
+                 FROM ev e LEFT JOIN (SELECT * FROM s{b} WHERE last_ts >= (SELECT max(last_ts) - INTERVAL {2 * MOVING_HOURS} HOUR FROM s{b})) l
+                 USING (event_type, user_id) WHERE batch = {b}),
+        a{b} AS (SELECT *, coalesce(lag(value) OVER (PARTITION BY event_type, user_id ORDER BY ts), last_v) AS pv FROM r{b} WHERE NOT is_late),
+        s{b + 1} AS (SELECT event_type, user_id, max(last_ts) AS last_ts, arg_max(last_v, last_ts) AS last_v
+                 FROM (SELECT * FROM s{b} UNION ALL SELECT event_type, user_id, ts, value FROM a{b}) GROUP BY ALL)""")
+    rows = [f"SELECT event_type, user_id, ts, value, event_id, FALSE AS is_late, CASE WHEN value >= pv THEN value - pv END AS \"interval\" FROM a{b} "
+            f"UNION ALL SELECT event_type, user_id, ts, value, event_id, TRUE, NULL FROM r{b} WHERE is_late" for b in range(MOVING)]
+    return "WITH " + ",".join(parts) + " " + " UNION ALL ".join(rows)
+
+
+@query(_moving_sql())
+def moving_event_time(spark, sf_dir):
+    """Ordered micro-batches: the newest time advances, state is carried on and forgotten, and late rows have a table of their own."""
+    day = F.floor((F.unix_timestamp("ts") - F.unix_timestamp(ts_lit("2024-01-01"))) / 86_400 / 5)
+    number = F.least(F.lit(MOVING - 1), day + F.when(F.col("event_id") % 9 == 0, 2).otherwise(0))
+    events = I.table(spark, sf_dir, "events").select("event_type", "user_id", "ts", "value", "event_id")
+    out = work_dir(spark, "moving")
+    for b in range(MOVING):
+        events.filter(number == b).write.mode("append").parquet(f"{out}/events")
+        incremental_counter_delta(
+            tables.stream_table(spark, f"{out}/events", events.schema), ["event_type", "user_id"], "ts", "value", f"{out}/table", f"{out}/state",
+            f"{out}/checkpoint", horizon=f"{MOVING_HOURS} hours", max_gap_seconds=None)
+    schema = struct("event_type string, user_id bigint, ts timestamp, value double, event_id bigint, interval double")
+    return metrics.union_all([read_split(spark, f"{out}/table", schema, late).withColumn("is_late", F.lit(late)) for late in (False, True)])
+
+
 @query("""
 SELECT sha256(concat_ws('|', event_type, user_id)) AS sk, ts, CAST(ts AS DATE) AS event_date,
        event_type, user_id, round(value, 2) AS value
@@ -340,6 +401,19 @@ def list_landed(spark, sf_dir):
     )
 
 
+@query("""
+SELECT event_type AS entity, strftime(ts, '%Y%m%d') AS day, count(*) AS envelopes, TRUE AS dated FROM events GROUP BY ALL
+""")
+def envelope_provenance(spark, sf_dir):
+    """Where each envelope was read from, and that file and reading have their times."""
+    root = work_dir(spark, "provenance")
+    land_events(spark, sf_dir, root)
+    rows = envelopes.with_provenance(envelopes.scan_envelopes(spark, root, READINGS_ENVELOPE, one_per_file=False))
+    part = [F.regexp_extract("_source_file", r"/entity=([^/]+)/kind=data/day=(\d{8})/[^/]+$", i) for i in (1, 2)]
+    dated = F.col("_file_modification_time").isNotNull() & (F.col("_file_modification_time") <= F.col("_ingested_at"))
+    return rows.groupBy(part[0].alias("entity"), part[1].alias("day")).agg(F.count(F.lit(1)).alias("envelopes"), F.every(dated).alias("dated"))
+
+
 @query("""
 SELECT event_type AS entity, strftime(ts, '%Y%m%d') AS day, count(*) AS envelopes
 FROM events WHERE event_type <> 'view' AND strftime(ts, '%Y%m%d') BETWEEN '20240105' AND '20240110' GROUP BY ALL
@@ -775,6 +849,59 @@ def quarantine(spark, sf_dir):
     )
 
 
+@query("""
+SELECT 'level_above_ten' AS rule, count_if(CAST(props->>'$.k' AS INTEGER) < 10) AS failed FROM events WHERE value < 100
+UNION ALL SELECT 'nullable_check', count_if(event_type = 'view' OR value < 1) FROM events WHERE value < 100
+""")
+def quality_warnings(spark, sf_dir):
+    """Broken warn rules, counted by the job that writes the rows."""
+    counts = Observation("warnings")
+    quality.apply_rules(I.table(spark, sf_dir, "events"), QUALITY, counts).write.parquet(work_dir(spark, "observed"))
+    return spark.createDataFrame(list(counts.get.items()), "rule string, failed bigint")
+
+
+STOPS = [Rule("has_level", "get_json_object(props, '$.k') IS NOT NULL", "fail"), Rule("known_type", "event_type <> 'error'", "fail"),
+         Rule("small", "value < 1000000", "fail"), Rule("old", "ts < '2024-01-15'", "fail")]
+
+
+@query("""
+SELECT r.rule, count_if(NOT CASE r.rule WHEN 'has_level' THEN props->>'$.k' IS NOT NULL WHEN 'known_type' THEN event_type <> 'error'
+                        WHEN 'small' THEN value < 1000000 ELSE ts < TIMESTAMP '2024-01-15' END) > 0 AS stopped
+FROM events, (VALUES ('has_level'), ('known_type'), ('small'), ('old')) r(rule) GROUP BY r.rule
+""")
+def quality_stops(spark, sf_dir):
+    """Which fail rules stop a job, by the message it stops with."""
+    events, rows = I.table(spark, sf_dir, "events"), []
+    for rule in STOPS:
+        try:
+            quality.expect_fail(events, [rule]).write.format("noop").mode("overwrite").save()
+            rows.append((rule.name, False))
+        except Exception as stopped:
+            if f"quality rule {rule.name} broken" not in str(stopped):
+                raise
+            rows.append((rule.name, True))
+    return spark.createDataFrame(rows, "rule string, stopped boolean")
+
+
+@query("""
+SELECT 'event_id' AS keys, count(DISTINCT event_id) = count(*) AS is_unique FROM events
+UNION ALL SELECT 'event_type,user_id', count(DISTINCT (event_type, user_id)) = count(*) FROM events
+UNION ALL SELECT 'user_id,ts', count(DISTINCT (user_id, ts)) = count(*) FROM events
+""")
+def unique_keys(spark, sf_dir):
+    """Declared keys, asserted."""
+    events, rows = I.table(spark, sf_dir, "events"), []
+    for keys in (["event_id"], ["event_type", "user_id"], ["user_id", "ts"]):
+        try:
+            quality.assert_unique(events, keys)
+            rows.append((",".join(keys), True))
+        except ValueError as repeated:
+            if str(keys) not in str(repeated):
+                raise
+            rows.append((",".join(keys), False))
+    return spark.createDataFrame(rows, "keys string, is_unique boolean")
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1
 """)

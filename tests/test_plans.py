@@ -10,7 +10,8 @@ from gaugeline.plans.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 STREAMED = {"counter_delta_stream", "counter_delta_incremental", "pivot_wide_stream", "pivot_wide_incremental",
             "sensor_fact_stream", "stream_health_refresh", "envelope_roundtrip", "list_landed", "history_append", "serving_stream",
-            "materialized_view", "scan_landed", "stream_health_state", "published_versions"}
+            "materialized_view", "scan_landed", "late_heal", "moving_event_time", "quality_warnings", "quality_stops", "unique_keys",
+            "envelope_provenance", "stream_health_state", "published_versions"}
 BATCH = sorted(set(QUERIES) - STREAMED)
 
 
