@@ -10,7 +10,8 @@ Forward-backward runs over all texts of a batch at once: a step is a small matri
 forgets, and the sequence is cut into blocks. Products of the blocks give what enters each block from either
 side; then all blocks walk together. So whole texts of any length are handled exactly, in bounded memory.
 
-The field is fitted on at most `SAMPLE` texts with a known language, those with the smallest hash of their key.
+The field is fitted on about `SAMPLE` texts with a known language, of each language those with the smallest hash of their key,
+and at least `LEAST_OF_EACH`.
 
 Cases: null and empty texts and texts without a letter get `und` with score 0; words without a letter take part in the chain without
 a vote; repeated rows get equal results; without training texts every text gets `und`; an empty table gives an empty one.
@@ -19,18 +20,21 @@ Only key, text and, for training, language are read.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.words import Words, chunks, constants, words_of
 
 SAMPLE = 600
+LEAST_OF_EACH = 20
 #: Longest texts that are taken for training, in characters, so that the sample has a size in bytes too.
 TRAINING_CHARS = 20_000
 BUCKETS = 1 << 16
@@ -41,11 +45,28 @@ _KEEP = np.arange(256, dtype=np.uint8)
 _KEEP[65:91] += 32
 _KEEP[48:58] = 48
 _KEEP[[*range(9, 14)]] = 32
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123), *range(0xC3, 0xF5)]] = True
 _SALT = constants(4, 71)
 
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Which code points are letters by their Unicode class."""
+    return np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)), bool, 0x110000)
+
+
+def letter_starts(data: np.ndarray) -> np.ndarray:
+    """The bytes of UTF-8 at which a letter begins."""
+    out = (data < 128) & (((data | 32) >= 97) & ((data | 32) <= 122))
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        after = [np.concatenate([data[k:], np.zeros(k, np.uint8)])[lead].astype(np.int64) & 0x3F for k in (1, 2, 3)]
+        first = data[lead].astype(np.int64)
+        point = np.select([first < 0xE0, first < 0xF0], [(first & 0x1F) << 6 | after[0], (first & 0x0F) << 12 | after[0] << 6 | after[1]],
+                          (first & 0x07) << 18 | after[0] << 12 | after[1] << 6 | after[2])
+        out[lead] = _letters()[np.minimum(point, 0x10FFFF)]
+    return out
+
+
 def _bucket(x: np.ndarray, salt: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return ((x.astype(np.uint64) * _SALT[salt]) >> np.uint64(48)).astype(np.int64)
@@ -79,7 +100,7 @@ def features_of(words: Words, lexicon: np.ndarray) -> Features:
         back[inside] = back[inside] << np.uint64(8) | small[words.end[inside] - k]
     entry = np.minimum(np.searchsorted(lexicon, words.hash), max(len(lexicon) - 1, 0))
     known = lexicon[entry] == words.hash if len(lexicon) else np.zeros(len(size), bool)
-    letters = np.add.reduceat(_LETTER[words.data[at]].astype(np.int64), edge) if len(size) else edge
+    letters = np.add.reduceat(letter_starts(words.data)[at].astype(np.int64), edge) if len(size) else edge
     return Features([two, three], edge, [_bucket(front, 2), _bucket(back, 3)], np.where(known, entry + 1, 0), letters)
 
 
@@ -196,13 +217,20 @@ def fit(texts: list[str], languages: list[str], rounds: int = 30, rate: float =
 
 
 def fit_on(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang") -> Field:
-    """The field of the SAMPLE rows with the smallest hash of their key that have a language and a text of bounded length."""
-    known = docs.filter(F.col(language).isNotNull() & (F.length(text) <= TRAINING_CHARS))
-    # first the keys, so that each task sends the driver small rows only
-    chosen = known.select(F.col(key).alias("id"), F.xxhash64(key).alias("h")).distinct().orderBy("h").limit(SAMPLE)
-    rows = known.join(F.broadcast(chosen), known[key] == F.col("id")).select("h", F.col(language).alias("language"), F.col(text).alias("text")).collect()
-    rows = sorted(rows, key=lambda r: (r["h"], r["language"], r["text"]))[:SAMPLE]
-    return fit([r["text"] for r in rows], [r["language"] for r in rows])
+    """The field of a bounded sample: of each language the rows with the smallest hash of their key, SAMPLE in all but at least
+    LEAST_OF_EACH of each, among those with a text of at most TRAINING_CHARS. So a rare language is learned too."""
+    known = docs.filter(F.col(language).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAINING_CHARS))
+    n_languages = known.select(language).distinct().count()
+    share = max(LEAST_OF_EACH, SAMPLE // max(1, n_languages))
+    # First the keys, so that small rows are ranked; each task keeps the first of each language before the shuffle.
+    rank = F.row_number().over(Window.partitionBy("language").orderBy("h", "id"))
+    chosen = known.select(F.col(key).alias("id"), F.col(language).alias("language"), F.xxhash64(key).alias("h")).withColumn("n", rank)
+    chosen = chosen.filter(F.col("n") <= share).select("id", "language").distinct()
+    joined = known.join(F.broadcast(chosen), known[key].eqNullSafe(F.col("id")) & (known[language] == chosen["language"]))
+    rows = joined.select(F.xxhash64(key).alias("h"), known[language].alias("name"), F.col(text).alias("body")).withColumn(
+        "n", F.row_number().over(Window.partitionBy("name").orderBy("h", "body"))).filter(F.col("n") <= share).collect()
+    rows = sorted(rows, key=lambda r: (r["h"], r["name"], r["body"]))
+    return fit([r["body"] for r in rows], [r["name"] for r in rows])
 
 
 def _texts(part: pa.Array, field: Field) -> tuple[list[str], np.ndarray]:

@@ -8,7 +8,8 @@ dives where a sum is zero again; lines between a surge and the next dive are the
 right before the surge.
 
 Pages that mark their article say more than lengths do: then lines outside `article` or `main` weigh nothing, and those
-inside weigh at least the threshold, so that surge and dive lie on the borders of the article and short paragraphs stay.
+inside weigh at least the threshold, so that surge and dive lie on the borders of the article and short paragraphs stay. The
+mark is believed only if what it encloses is at least half of the text that lengths alone find: teasers are marked too.
 
 Cases: null and empty pages, and pages without text, give an empty text; cut pages are read to their end; long pages are read
 whole; repeated rows give repeated rows; an empty table gives an empty one; other columns are not read. Text before and
@@ -45,16 +46,32 @@ _ALWAYS = set("ad ads adv advert adverts advertisement adsense sponsor sponsored
               "replies respond share sharing social related recommended recommendations toolbar widget login pagination pager paywall".split())
 _UNLESS = set("header masthead footer banner notice notices alert announcement search form aside copyright disclaimer meta byline".split())
 _CONTENT = set("article entry post content story text body main".split())
+# What readers have written: it stays shut even where each comment is an article of its own.
+_READERS = set("comment comments disqus replies respond".split())
+#: Elements that hold text and no others: a word of class alone does not make them furniture.
+_TEXTUAL = set("p blockquote pre h1 h2 h3 h4 h5 h6 li dd td".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""")
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
+def _class_words(attributes: str) -> set[str]:
+    found: set[str] = set()
+    for name, value in _NAMES.findall(attributes):
+        if name.lower() != "role":
+            found |= set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+    return found
+
+
 def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
     if tag in _FURNITURE or tag == "header" and not inside:
         return True
-    if tag in ("html", "body", "article", "main") or not attributes:
+    if not attributes:
+        return False
+    if tag == "article":
+        return bool(_class_words(attributes) & _READERS)
+    if tag in ("html", "body", "main"):
         return False
     if _HIDDEN.search(attributes):
         return True
@@ -66,6 +83,8 @@ def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
                 return True
         else:
             words |= found
+    if tag in _TEXTUAL:
+        return bool(words) and words <= _ALWAYS
     return bool(words & _ALWAYS or words & _UNLESS and not words & _CONTENT)
 
 
@@ -75,6 +94,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     parts: list[str] = []
     free = 0  # characters outside links
     skipped, depth = "", 0
+    readers = False  # what is skipped is what readers have written
     article = link = heading = 0
 
     def close(gap: bool = False) -> None:
@@ -123,7 +143,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if skipped:
             if tag == skipped:
                 depth += -1 if ends else not attributes.endswith("/")
-            if depth > 0 and (ends or tag not in ("article", "main") or skipped == "head"):
+            if depth > 0 and (ends or readers or tag not in ("article", "main") or skipped == "head"):
                 if skipped == "head" and tag == "body" and not ends:
                     skipped = ""
                 elif not (ends and tag in ("body", "html")):
@@ -140,6 +160,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             close(gap=True)
             if not attributes.endswith("/"):
                 skipped, depth = tag, 1
+                readers = bool(_class_words(attributes) & _READERS)
             continue
         if tag in ("article", "main"):
             close(gap=True)
@@ -165,12 +186,8 @@ def _after_raw(page: str, at: int, tag: str) -> int:
     return m.end() if m else len(page)
 
 
-def main_blocks(page: str) -> list[str]:
-    lines = lines_of(page)
-    if any(inside and text for text, _, inside, _ in lines):
-        weights = [max(free, THRESHOLD) + 1 if inside and text else 0 for text, free, inside, _ in lines]
-    else:
-        weights = [free for _, free, _, _ in lines]
+def _surges(lines: list[tuple[str, int, bool, bool]], weights: list[int]) -> set[int]:
+    """The numbers of the lines between surge and dive, with headings right before."""
     sums = [sum(weights[i: i + WINDOW]) for i in range(len(weights))]
     threshold = min(THRESHOLD, max(sums, default=0) / 2)
     kept: set[int] = set()
@@ -184,6 +201,17 @@ def main_blocks(page: str) -> list[str]:
                 i += 1
             kept.update(range(start, i))
         i += 1
+    return kept
+
+
+def main_blocks(page: str) -> list[str]:
+    lines = lines_of(page)
+    kept = _surges(lines, [free for _, free, _, _ in lines])
+    if any(inside and text for text, _, inside, _ in lines):
+        marked = _surges(lines, [max(free, THRESHOLD) + 1 if inside and text else 0 for text, free, inside, _ in lines])
+        size = lambda ks: sum(lines[k][1] for k in ks)
+        if 2 * size(marked) >= size(kept):
+            kept = marked
     return [lines[k][0] for k in sorted(kept) if lines[k][0]]
 
 
