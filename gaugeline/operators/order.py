@@ -31,10 +31,37 @@ def latest_inventory(dim: DataFrame, keys: Sequence[str], order: Order = (("snap
     return latest_per_snapshot(dim, keys, order)
 
 
-def _slices(df: DataFrame, keys: Sequence[str], ts: str, seconds: int) -> DataFrame:
+def _quantile_slice(df: DataFrame, ts: str, slices: int) -> Column:
+    """The number of the quantile of all times that a row lies in.
+
+    A slice of a key cannot hold more rows than its quantile, so however densely the rows of a key lie, and however many it
+    has, they spread. One narrow pass finds the bounds; a row is placed by two short searches.
+    """
+    micros = F.unix_micros(ts)
+    cuts = [k / slices for k in range(1, slices)]
+    found = df.agg(F.percentile_approx(micros, cuts, 10 * slices).alias("cuts")).first()["cuts"] if cuts else None
+    bounds = sorted(set(found or []))
+    width = max(1, round(len(bounds) ** 0.5))
+    groups = [bounds[k: k + width] for k in range(0, len(bounds), width)] or [[]]
+
+    def passed(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= micros))
+
+    def longs(values: list[int]) -> Column:
+        return F.array(*map(F.lit, values)).cast("array<bigint>")
+
+    group = passed(longs([g[0] for g in groups[1:]]))
+    inner = passed(F.element_at(F.array(*map(longs, groups)), group + 1))
+    return (group * (width + 1) + inner).cast("bigint")
+
+
+def _slices(df: DataFrame, keys: Sequence[str], ts: str, seconds: int | None, slices: int | None = None) -> DataFrame:
     """Rows dealt out once by key and time slice; rows without a time are a slice of their own."""
-    cut = F.floor(F.unix_timestamp(ts) / seconds)
-    return df.withColumn("_slice", F.coalesce(cut, F.lit(-(1 << 62)))).repartition(*keys, "_slice")
+    if seconds is None:
+        cut = _quantile_slice(df, ts, slices or min(1024, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    else:
+        cut = F.floor(F.unix_timestamp(ts) / seconds)
+    return df.withColumn("_slice", F.when(F.col(ts).isNotNull(), cut).otherwise(F.lit(-(1 << 62)))).repartition(*keys, "_slice")
 
 
 def _lag_in_slices(sliced: DataFrame, keys: Sequence[str], ts: str, cols: dict[str, str], known: Column | None) -> DataFrame:
@@ -61,18 +88,21 @@ def lag_columns(
     keys: Sequence[str],
     ts: str,
     cols: dict[str, str],
-    slice_seconds: int = 3600,
+    slice_seconds: int | None = None,
     known: Column | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add for each ``cols`` entry the value of the previous row of the same key.
 
     A plain ``lag`` puts the whole history of a key in one task. Here every key is cut into time
     slices, whatever its size: rows are dealt out once, by key and slice, and compared inside their
-    slice; only the last row of each slice goes on to the next one, by a join. ``(keys, ts)`` must be
+    slice; only the last row of each slice goes on to the next one, by a join. Slices are ``slices`` quantiles of all times (by
+    default four a shuffle partition), so none holds more than its share of the rows; finding them takes a pass over the
+    times. ``slice_seconds`` cuts by the clock instead, without that pass. ``(keys, ts)`` must be
     unique and keys not null. Rows without a time, and rows that are not ``known``, get NULL and
     are no one's predecessor.
     """
-    return _lag_in_slices(_slices(df, keys, ts, slice_seconds), keys, ts, cols, known)
+    return _lag_in_slices(_slices(df, keys, ts, slice_seconds, slices), keys, ts, cols, known)
 
 
 def counter_delta(
@@ -84,8 +114,9 @@ def counter_delta(
     tie_break: Order | None = None,
     carry_over_nulls: bool = False,
     max_gap_seconds: int | None = None,
-    slice_seconds: int = 3600,
+    slice_seconds: int | None = None,
     seed: tuple[str, str] | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Interval value of a cumulative counter: the rise since the previous reading.
 
@@ -96,7 +127,7 @@ def counter_delta(
     ``seed`` names two columns (value, time) with the reading before the first row of the key, for
     data that continues an earlier run. A reading without a time has no interval and changes no other.
     """
-    rows = _slices(df, keys, ts, slice_seconds)
+    rows = _slices(df, keys, ts, slice_seconds, slices)
     if tie_break:
         rows = latest_per_snapshot(rows, [*keys, "_slice", ts], tie_break)
     known = F.col(counter).isNotNull() if carry_over_nulls else None

@@ -84,6 +84,24 @@ def test_reading_without_a_time_changes_no_other(spark):
         assert got == {None: None, 0: None, 7200: 2.0}
 
 
+def test_a_dense_hour_of_one_key_spreads(spark):
+    """All rows of the hot key lie within a minute; no slice holds much more than its share."""
+    from gaugeline.operators.order import _slices
+
+    rows = [("hot", 1_000_000 + i * 3) for i in range(20_000)] + [(f"k{i}", i * 2_000_000_000 + 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "key string, us long").select("key", F.timestamp_micros("us").alias("ts"), F.col("us").cast("double").alias("v"))
+    for slices in (1, 2, 7, 64, 300):
+        sizes = [r["count"] for r in _slices(df, ["key"], "ts", None, slices).groupBy("key", "_slice").count().collect()]
+        assert sum(sizes) == len(rows) and max(sizes) <= 1.3 * len(rows) / slices + 5
+        w = Window.partitionBy("key").orderBy("ts")
+        plain = df.withColumn("pv", F.lag("v").over(w))
+        sliced = lag_columns(df, ["key"], "ts", {"v": "pv"}, slices=slices)
+        assert sliced.select(plain.columns).exceptAll(plain).count() == 0 and sliced.count() == len(rows)
+    empty = df.filter("key = 'none'")
+    assert lag_columns(empty, ["key"], "ts", {"v": "pv"}).count() == 0
+    assert lag_columns(empty.unionByName(df.limit(1).withColumn("ts", F.lit(None).cast("timestamp"))), ["key"], "ts", {"v": "pv"}).count() == 1
+
+
 def test_latest_keeps_one_row_before_the_shuffle(spark, rows):
     df = spark.createDataFrame(
         [("a", 1, 1, "old"), ("a", 1, 2, "new"), ("a", 2, 1, "x"), ("b", 1, 1, "y")],
