@@ -11,7 +11,7 @@ forgets, and the sequence is cut into blocks. Products of the blocks give what e
 side; then all blocks walk together. So whole texts of any length are handled exactly, in bounded memory.
 
 The field is fitted on about `SAMPLE` texts with a known language, of each language those with the smallest hash of their key,
-and at least `LEAST_OF_EACH`.
+and at least `LEAST_OF_EACH`, for at most `MOST_LANGUAGES` languages.
 
 Cases: null and empty texts and texts without a letter get `und` with score 0; words without a letter take part in the chain without
 a vote; repeated rows get equal results; without training texts every text gets `und`; an empty table gives an empty one.
@@ -35,6 +35,8 @@ from gaugeline.llm.words import Words, chunks, constants, words_of
 
 SAMPLE = 600
 LEAST_OF_EACH = 20
+#: Languages that are learned, the most frequent ones; so the sample is bounded whatever the column holds.
+MOST_LANGUAGES = 200
 #: Longest texts that are taken for training, in characters, so that the sample has a size in bytes too.
 TRAINING_CHARS = 20_000
 BUCKETS = 1 << 16
@@ -218,10 +220,13 @@ def fit(texts: list[str], languages: list[str], rounds: int = 30, rate: float =
 
 def fit_on(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang") -> Field:
     """The field of a bounded sample: of each language the rows with the smallest hash of their key, SAMPLE in all but at least
-    LEAST_OF_EACH of each, among those with a text of at most TRAINING_CHARS. So a rare language is learned too."""
+    LEAST_OF_EACH of each of the MOST_LANGUAGES most frequent ones, among those with a text of at most TRAINING_CHARS. So a rare
+    language is learned too."""
     known = docs.filter(F.col(language).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAINING_CHARS))
-    n_languages = known.select(language).distinct().count()
-    share = max(LEAST_OF_EACH, SAMPLE // max(1, n_languages))
+    counted = known.groupBy(language).count().orderBy(F.desc("count"), language).limit(MOST_LANGUAGES)
+    names = [r[0] for r in counted.collect()]
+    known = known.filter(F.col(language).isin(names))
+    share = max(LEAST_OF_EACH, SAMPLE // max(1, len(names)))
     # First the keys, so that small rows are ranked; each task keeps the first of each language before the shuffle.
     rank = F.row_number().over(Window.partitionBy("language").orderBy("h", "id"))
     chosen = known.select(F.col(key).alias("id"), F.col(language).alias("language"), F.xxhash64(key).alias("h")).withColumn("n", rank)

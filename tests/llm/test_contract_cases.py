@@ -41,6 +41,8 @@ def test_a_rare_language_is_in_the_sample(spark, monkeypatch):
     found = lang_crf.predict(spark.createDataFrame([(1, "talo ja puutarha"), (2, "the garden")], "doc_id long, text string"), field)
     assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: "fi", 2: "en"}
     assert lang_crf.fit_on(spark.createDataFrame([], "doc_id long, text string, lang string")).languages == []
+    monkeypatch.setattr(lang_crf, "MOST_LANGUAGES", 1)
+    assert lang_crf.fit_on(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["en"]
 
 
 @pytest.mark.parametrize("page, want", [
