@@ -76,11 +76,16 @@ def _elements(v: Column, path: Sequence[str] = ()) -> Column:
     return F.try_variant_get(v, _at(path), "array<variant>")
 
 
-def _typed(v: Column, path: tuple[str, ...], kind: DataType) -> Column:
-    """The value at a path in its declared type, NULL where it is of another JSON type or out of range."""
+Known = dict[tuple[str, ...], Column]
+
+
+def _typed(v: Column, path: tuple[str, ...], kind: DataType, objects: Known | None = None) -> Column:
+    """The value at a path in its declared type, NULL where it is of another JSON type or out of range. ``objects`` has the
+    fields of objects that stand in a column already."""
     if isinstance(kind, StructType):
-        fields = [_typed(v, (*path, f.name), f.dataType).alias(f.name) for f in kind.fields]
-        return F.when(_object(v, path).isNotNull(), F.struct(*fields))
+        fields = [_typed(v, (*path, f.name), f.dataType, objects).alias(f.name) for f in kind.fields]
+        here = objects[path] if objects else _object(v, path)
+        return F.when(here.isNotNull(), F.struct(*fields))
     if isinstance(kind, ArrayType):
         return F.transform(_elements(v, path), lambda e: _typed(e, (), kind.elementType))
     if isinstance(kind, MapType):
@@ -102,20 +107,24 @@ def _entry(name: Column, raw: Column) -> Column:
     return F.struct(name.alias("path"), raw.alias("raw"))
 
 
-def _left_over(v: Column, path: tuple[str, ...], kind: DataType, name: Column, unknown: bool = True) -> list[Column]:
+def _left_over(
+    v: Column, path: tuple[str, ...], kind: DataType, name: Column, unknown: bool = True, objects: Known | None = None, typed: Column | None = None,
+) -> list[Column]:
     """Arrays of (path, raw text) of all that the declared type does not hold, at any depth; NULL arrays are empty.
 
-    ``name`` is the way to the value; ``unknown=False`` leaves out the unknown fields of this very object.
+    ``name`` is the way to the value; ``unknown=False`` leaves out the unknown fields of this very object. ``objects`` and ``typed``
+    are what stands in columns already: fields of objects, and the typed value.
     """
     found: list[Column] = []
     if isinstance(kind, StructType):
-        fields = _object(v, path)
+        fields = objects[path] if objects else _object(v, path)
         fits = fields.isNotNull()
         if unknown:
             others = F.filter(F.map_entries(fields), lambda e: ~e["key"].isin(kind.names))
             found.append(F.transform(others, lambda e: _entry(F.concat(name, F.lit("."), e["key"]), _text(e["value"]))))
         for f in kind.fields:
-            found += _left_over(v, (*path, f.name), f.dataType, F.concat(name, F.lit("." + f.name)))
+            found += _left_over(v, (*path, f.name), f.dataType, F.concat(name, F.lit("." + f.name)), True, objects,
+                                None if typed is None else typed[f.name])
     elif isinstance(kind, ArrayType):
         elements, inner = _elements(v, path), kind.elementType
         fits = elements.isNotNull()
@@ -133,11 +142,16 @@ def _left_over(v: Column, path: tuple[str, ...], kind: DataType, name: Column, u
     elif isinstance(kind, StringType):
         return []  # holds anything
     else:
-        fits = _typed(v, path, kind).isNotNull()
+        fits = (_typed(v, path, kind) if typed is None else typed).isNotNull()
     # A JSON null has no text; it fits any type.
     return [*found, F.when(~fits & _text(v, path).isNotNull(), F.array(_entry(name, _text(v, path))))]
 
 
+def _levels(schema: StructType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """The ways to the declared objects outside arrays and maps, outermost first."""
+    return [path] + [p for f in schema.fields if isinstance(f.dataType, StructType) for p in _levels(f.dataType, (*path, f.name))]
+
+
 _ENTRIES = "array<struct<path: string, raw: string>>"
 
 
@@ -168,15 +182,20 @@ def with_drift_column(
     schema = struct(schema) if isinstance(schema, str) else schema
     parsed = text_df.withColumn("_doc", F.try_parse_json(value))
     doc = F.col("_doc")
-    fields = _object(doc)
+    # Objects outside arrays and maps, and typed values, stand in columns of their own: each is taken out once.
+    levels = _levels(schema)
+    parsed = parsed.withColumns({f"_o{i}": _object(doc, path) for i, path in enumerate(levels)})
+    objects = {path: F.col(f"_o{i}") for i, path in enumerate(levels)}
+    parsed = parsed.withColumns({f"_t{i}": _typed(doc, (n,), schema[n].dataType, objects) for i, n in enumerate(schema.names)})
+    fields = objects[()]
     others = F.filter(F.map_entries(fields), lambda e: ~e["key"].isin(schema.names))
     parts = [F.transform(others, lambda e: _entry(e["key"], _text(e["value"])))]
-    for f in schema.fields:
-        parts += _left_over(doc, (f.name,), f.dataType, F.lit(f.name))
+    for i, f in enumerate(schema.fields):
+        parts += _left_over(doc, (f.name,), f.dataType, F.lit(f.name), True, objects, F.col(f"_t{i}"))
     broken = F.col(value).isNotNull() & fields.isNull()
     left = F.when(broken, F.array(_entry(F.lit("_corrupt"), F.col(value)))).otherwise(_all(parts))
     keep = [c for c in text_df.columns if c != value]
-    found = parsed.select(*[_typed(doc, (n,), schema[n].dataType).alias(n) for n in schema.names], *keep, left.alias("_left"))
+    found = parsed.select(*[F.col(f"_t{i}").alias(n) for i, n in enumerate(schema.names)], *keep, left.alias("_left"))
     entries = F.col("_left")
     if allowed:
         entries = F.filter(entries, lambda e: ~F.regexp_replace(e["path"], r"\[\d+\]", "[]").isin(*allowed))
