@@ -29,7 +29,7 @@ def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    cleaned = line_spread.remove_boilerplate(docs)
+    cleaned = line_spread.remove_boilerplate(docs, rules=line_spread.PRODUCTION)
     return cleaned.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 
 
