@@ -71,7 +71,8 @@ def _lines(docs: DataFrame, text: str, rules: Spread, column: Column) -> DataFra
     found = docs.select(column.alias("of"), F.explode(F.split(F.col(text), "\n")).alias("line"))
     found = found.withColumn("line", _trimmed(F.col("line"))).filter(F.length("line") > 0)
     found = found.select("of", _known_by(F.col("line")).alias("key"), F.size(F.split("line", "[ \t-\r]+")).alias("n_words"))
-    return found.filter(F.col("n_words") >= (rules.min_words if rules.short_share is None else 1))
+    # what is left of a line has a word, so words are only counted where short lines have no rule or the number is used
+    return found.filter(F.col("n_words") >= rules.min_words) if rules.short_share is None else found
 
 
 def _enough(docs: DataFrame, site: str, rules: Spread) -> Column:
