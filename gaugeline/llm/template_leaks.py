@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.tables import sent_if_small, stored
-from gaugeline.llm.words import chunks, constants, range_hashes, windows, words_of
+from gaugeline.llm.words import chunks, constants, windows, word_hashes, words_of
 
 SIZE, PLAIN, SHORTEST = 8, 5, 5
 TEMPLATE, LITERAL = 0, 1
@@ -122,7 +122,7 @@ class Template:
                 self.closes[:-1] |= np.searchsorted(marks, start[1:]) != np.searchsorted(marks, end[:-1])
         self.begins = np.append(True, self.closes[:-1])[: len(start)]
         small = _lowered(data)
-        self.value = range_hashes(small, start, end)
+        self.value = word_hashes(small, start, end)
         digits = np.append(0, np.cumsum((data >= 48) & (data <= 57)))
         first = data[start]
         number = (first >= 48) & (first <= 57) & (digits[end] > digits[start])

@@ -2,7 +2,9 @@
 
 A word is a run of bytes other than space and 0x09-0x0D. UTF-8 keeps these bytes for themselves, so bytes
 can be looked at instead of characters. The hash of a word is a polynomial of its bytes modulo 2^64 (each byte
-stands for a fixed 64-bit number), taken from prefix sums, then mixed.
+stands for a fixed 64-bit number), taken from prefix sums, then mixed. Such polynomials collide on long strings of a
+certain making (Thue-Morse sequences from about a thousand bytes on), so words of more than 64 bytes, which are rare, take the hash of a
+library that is not of this kind.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK_BYTES = 1 << 20
 _P = 0x9E3779B97F4A7C15
@@ -36,6 +39,7 @@ _LOWER = _VALUE.copy()
 _LOWER[65:91] = _VALUE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+_LONG = 64
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -59,6 +63,15 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np
         return mix((total[end] - total[start]) * inverse[start])
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hashes of words; long ones, for which a polynomial is not safe, by xxh3."""
+    out = range_hashes(data, start, end, _LOWER if lower else _VALUE)
+    for i in np.flatnonzero(end - start > _LONG):
+        word = data[start[i]: end[i]].tobytes()
+        out[i] = xxhash.xxh3_64_intdigest(word.lower() if lower else word)
+    return out
+
+
 def gather(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The runs values[start : start + count] one after the other."""
     ends = np.cumsum(count)
@@ -108,7 +121,7 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     after[:-1] = ~inside[1:] | cut[1:-1]
     start = np.flatnonzero(inside & before)
     end = np.flatnonzero(inside & after) + 1
-    hashed = range_hashes(data, start, end, _LOWER if lower else _VALUE)
+    hashed = word_hashes(data, start, end, lower)
     first = np.searchsorted(start, offsets)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     return Words(data, offsets, text, start, end, hashed, first)

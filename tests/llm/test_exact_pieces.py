@@ -9,9 +9,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gaugeline.llm import byte_bpe, token_index
+from gaugeline.llm import byte_bpe, lsh_forest, token_index
 from gaugeline.llm.queries import RANKS, TOKENIZER
-from gaugeline.llm.words import range_hashes
+from gaugeline.llm.words import range_hashes, words_of
+from tests.llm import brute
 
 
 def thue_morse(n):
@@ -69,3 +70,20 @@ def test_index_returns_every_row(spark):
     assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in found) == sorted((str(k), *told(k, t)[1:]) for k, t in rows)
     assert sorted(r.start for r in found) == sorted(np.cumsum([0, *(r.n_tokens for r in sorted(found, key=lambda r: r.start))])[:-1].tolist())
     assert sorted(r.doc_id for r in found if r.indexed) == [1, 2, 3, 4]
+
+
+def test_words_that_share_a_polynomial_are_told_apart():
+    for n in (64, 128, 1024, 2048, 4096):
+        one, other = thue_morse(n)
+        hashes = words_of(pa.array([one, other, one, "x" + one, one.upper()])).hash
+        assert len(set(hashes.tolist())) == 4 and hashes[0] == hashes[2], n
+        lower = words_of(pa.array([one, other, one.upper()]), lower=True).hash
+        assert lower[0] == lower[2] != lower[1], n
+
+
+def test_near_duplicates_of_colliding_words(spark):
+    one, other = thue_morse(2048)
+    rows = {1: one, 2: other, 3: one.upper(), 4: f"{one} {other} a b c d", 5: f"{other} {one} a b c d", 6: f"{one} {other} a b c d"}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in lsh_forest.near_duplicates(df).collect()}
+    assert got == brute.near_groups(rows) and got[2][1] == 2 and got[3][1] == 1
