@@ -30,7 +30,8 @@ from gaugeline.llm.tables import stored
 KINDS = ["email", "ip", "card", "phone"]
 MET, GENERALISED, REMOVED = 3, 0.6, 0.9
 SIDE = 8
-CONTEXT_CHARS = 160
+#: The terms beside a datum are looked for within so many characters first, then in the whole text.
+CONTEXT_CHARS = (160, 2000)
 
 _MARK = "\uffff"
 _LABEL, _LOCAL = "A-Za-z0-9-", "A-Za-z0-9._%+-"
@@ -94,10 +95,23 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     rows = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("_text"))
     rows = rows.withColumn("spans", base_spans(t))
 
+    def nearest(s: Column, chars: int | None) -> tuple[Column, Column]:
+        """Terms before a span, nearest first, and after it, within so many characters; a word cut there is left out."""
+        if chars is None:
+            return F.reverse(_terms(F.substr(t, F.lit(1), s["start"]))), _terms(F.substr(t, s["end"] + 1))
+        before = F.greatest(s["start"] - chars, F.lit(0))
+        left, right = F.substr(t, before + 1, s["start"] - before), F.substr(t, s["end"] + 1, F.lit(chars))
+        left = F.when(before > 0, F.regexp_replace(left, "^[^ \t-\r]+", "")).otherwise(left)
+        right = F.when(s["end"] + chars < F.length(t), F.regexp_replace(right, "(?<![^ \t-\r])[^ \t-\r]+$", "")).otherwise(right)
+        return F.reverse(_terms(left)), _terms(right)
+
     def around(s: Column) -> Column:
-        before = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        left, right = _terms(F.substr(t, before + 1, s["start"] - before)), _terms(F.substr(t, s["end"] + 1, F.lit(CONTEXT_CHARS)))
-        near = F.concat(F.slice(F.reverse(left), 1, SIDE), F.slice(right, 1, SIDE))
+        # a wider look only where eight terms are not met in a narrower one
+        near = nearest(s, None)
+        for chars in reversed(CONTEXT_CHARS):
+            closer = nearest(s, chars)
+            near = tuple(F.when(F.size(c) >= SIDE, c).otherwise(n) for c, n in zip(closer, near))
+        near = F.concat(*(F.slice(n, 1, SIDE) for n in near))
         entity = F.concat_ws(":", s["kind"], F.lower(F.replace(s["value"], F.lit(_MARK), F.lit("."))))
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), entity.alias("entity"), near.alias("near"))
 

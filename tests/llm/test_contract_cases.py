@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.llm import lang_crf, line_blocks
+from gaugeline.llm import disclosure, lang_crf, line_blocks
 
 PROSE = "It was a long and quiet evening in the old town, and the people who lived there had gone home early. " * 3
 
@@ -74,3 +74,12 @@ def test_clashing_columns_and_empty_pages(spark):
     row = line_blocks.main_text(df).first()
     assert (row.page_id, row.url, row.text, row.n_chars) == (1, "u", PROSE.strip(), len(PROSE.strip()))
     assert line_blocks.main_text(df.filter(F.lit(False))).count() == 0
+
+
+def test_context_is_eight_whole_words_however_long(spark):
+    long = ["a" * 100 + "bcdefghijklmn"[k] for k in range(10)]
+    text = " ".join(long) + " ann@mail.example.com " + " ".join(long)
+    numbers = "word " * 8 + "12 " * 2000 + "bob@mail.example.com 1 2 3"
+    df = spark.createDataFrame([(1, text), (2, numbers), (3, "x"), (4, None)], "doc_id long, text string")
+    near = {r.id: [s.near for s in r.spans] for r in disclosure.find(df).collect()}
+    assert near == {1: [[*long[::-1][:8], *long[:8]]], 2: [["word"] * 8], 3: [], 4: []}
