@@ -14,6 +14,11 @@ from ..operators.order import Order
 DEFAULT_HORIZON = "8 days"
 
 
+def one_frame(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    parts = list(frames)
+    return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+
+
 def ordered_group(frames: Iterator[pd.DataFrame], ts: str, tie_break: Order = ()) -> pd.DataFrame:
     """All rows of a key in this micro-batch in time order.
 
@@ -22,8 +27,7 @@ def ordered_group(frames: Iterator[pd.DataFrame], ts: str, tie_break: Order = ()
     bounded by the micro-batch limits of the source; for larger ones, and for keys that
     dominate them, use the set-based runs in ``incremental``.
     """
-    parts = list(frames)
-    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    rows = one_frame(frames)
     if tie_break:
         by = [ts, *[c for c, _ in tie_break]]
         return rows.sort_values(by, ascending=[True, *[d == "asc" for _, d in tie_break]], kind="stable")
@@ -40,6 +44,16 @@ def keep_until(state, newest: pd.Timestamp, horizon: pd.Timedelta) -> None:
     state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs() + 1))
 
 
+def keep_earliest(state, kept: list[list]) -> None:
+    """Keep the arrays of a group of keys, of which the last are deadlines, until the first of these; without keys, nothing."""
+    if not kept[-1]:
+        if state.exists:
+            state.remove()
+        return
+    state.update(tuple(kept))
+    state.setTimeoutTimestamp(max(min(kept[-1]), state.getCurrentWatermarkMs() + 1))
+
+
 def write_with_late(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run once over what is new; rows marked ``is_late`` go to a partition of their own.
 
