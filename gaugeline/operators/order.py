@@ -57,6 +57,8 @@ def _quantile_slice(df: DataFrame, ts: str, slices: int) -> Column:
 
 def _slices(df: DataFrame, keys: Sequence[str], ts: str, seconds: int | None, slices: int | None = None) -> DataFrame:
     """Rows dealt out once by key and time slice; rows without a time are a slice of their own."""
+    if seconds is None and slices == 1:  # a key is a slice, and the windows ask for rows by key themselves
+        return df.withColumn("_slice", F.lit(0).cast("bigint"))
     if seconds is None:
         cut = _quantile_slice(df, ts, slices or min(1024, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     else:
@@ -64,12 +66,15 @@ def _slices(df: DataFrame, keys: Sequence[str], ts: str, seconds: int | None, sl
     return df.withColumn("_slice", F.when(F.col(ts).isNotNull(), cut).otherwise(F.lit(-(1 << 62)))).repartition(*keys, "_slice")
 
 
-def _lag_in_slices(sliced: DataFrame, keys: Sequence[str], ts: str, cols: dict[str, str], known: Column | None) -> DataFrame:
+def _lag_in_slices(sliced: DataFrame, keys: Sequence[str], ts: str, cols: dict[str, str], known: Column | None, one: bool = False) -> DataFrame:
     timed = F.col(ts).isNotNull()
     counts = timed if known is None else timed & known
     before = Window.partitionBy(*keys, "_slice").orderBy(F.col(ts).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     values = F.struct(*(F.col(src).alias(out) for src, out in cols.items()))
     rows = sliced.withColumn("_here", F.last(F.when(counts, values), ignorenulls=True).over(before))
+    if one:
+        previous = F.when(counts, F.col("_here"))
+        return rows.withColumns({out: previous[out] for out in cols.values()}).drop("_here", "_slice")
     # The last row of each slice, at most one per slice however dense the readings are. It is taken whole, with copies of
     # the keys to join by: no column and no row is then left out before the shuffle, and both branches read the same one.
     edges = sliced.groupBy(*keys, "_slice").agg(F.max_by(F.struct(*sliced.columns), F.when(counts, F.col(ts))).alias("_last"), *(F.first(k).alias(f"_key_{k}") for k in keys))
@@ -98,11 +103,13 @@ def lag_columns(
     slices, whatever its size: rows are dealt out once, by key and slice, and compared inside their
     slice; only the last row of each slice goes on to the next one, by a join. Slices are ``slices`` quantiles of all times (by
     default four a shuffle partition), so none holds more than its share of the rows; finding them takes a pass over the
-    times. ``slice_seconds`` cuts by the clock instead, without that pass. ``(keys, ts)`` must be
+    times. ``slice_seconds`` cuts by the clock instead, without that pass; with ``slices=1`` keys stay whole, for rows of which no key
+    has too many for a task. ``(keys, ts)`` must be
     unique and keys not null. Rows without a time, and rows that are not ``known``, get NULL and
     are no one's predecessor.
     """
-    return _lag_in_slices(_slices(df, keys, ts, slice_seconds, slices), keys, ts, cols, known)
+    one = slice_seconds is None and slices == 1
+    return _lag_in_slices(_slices(df, keys, ts, slice_seconds, slices), keys, ts, cols, known, one)
 
 
 def counter_delta(
@@ -131,7 +138,7 @@ def counter_delta(
     if tie_break:
         rows = latest_per_snapshot(rows, [*keys, "_slice", ts], tie_break)
     known = F.col(counter).isNotNull() if carry_over_nulls else None
-    rows = _lag_in_slices(rows, keys, ts, {counter: "_prev", ts: "_prev_ts"}, known)
+    rows = _lag_in_slices(rows, keys, ts, {counter: "_prev", ts: "_prev_ts"}, known, slice_seconds is None and slices == 1)
     before, since = F.col("_prev"), F.col("_prev_ts")
     if seed:
         before = F.when(since.isNull(), F.col(seed[0])).otherwise(before)

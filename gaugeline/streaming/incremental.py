@@ -23,11 +23,14 @@ from ..operators.order import Order, counter_delta
 from ..operators.pivot import pivot_categories
 from ..sources import versions
 
-Step = Callable[[DataFrame, DataFrame | None], DataFrame]
+Step = Callable[[DataFrame, DataFrame | None, datetime | None], DataFrame]
+Changes = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 
 COMPACT_EVERY = 10
 BUCKETS = 64
+#: Rows of one key in a micro-batch from which on keys are cut into hours; below, a key is a task's share at most.
+HOT_ROWS = 100_000
 
 
 def read_state(spark: SparkSession, state_path: str, keys: Sequence[str], before: int) -> DataFrame | None:
@@ -68,20 +71,25 @@ def compact_state(spark: SparkSession, state_path: str, keys: Sequence[str], bef
     return touched
 
 
+def _marks(spark: SparkSession, state_path: str, before: int) -> DataFrame:
+    """The first and last time of the accepted rows of each earlier micro-batch."""
+    return spark.read.schema("low timestamp, high timestamp, batch bigint").parquet(f"{state_path}/reach").filter(F.col("batch") < before)
+
+
 def _reaching(spark: SparkSession, state_path: str, before: int, low: datetime, high: datetime) -> list[int]:
     """Earlier micro-batches whose accepted rows reach into a range of times."""
-    marks = spark.read.schema("low timestamp, high timestamp, batch bigint").parquet(f"{state_path}/reach").filter(F.col("batch") < before)
+    marks = _marks(spark, state_path, before)
     near = marks.filter((F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)))
     return sorted(r["batch"] for r in near.select("batch").collect())
 
 
 def run_with_state(
-    stream: DataFrame, step: Step, changes: Step, path: str, state_path: str, checkpoint: str,
+    stream: DataFrame, step: Step, changes: Changes, path: str, state_path: str, checkpoint: str,
     keys: Sequence[str], ts: str, values: Sequence[str], horizon: str,
 ) -> None:
     """Run once over what is new.
 
-    For each micro-batch ``step(batch, state)`` gives the rows to store, marked with
+    For each micro-batch ``step(batch, state, newest)`` (the newest time in the state) gives the rows to store, marked with
     ``is_late``, and ``changes(accepted, state)`` the state of the keys it has changed. Both are written to
     folders with the number of the micro-batch, so one that is repeated after a failure
     starts from the same state and replaces what it had written. Late rows that say nothing new
@@ -107,7 +115,8 @@ def run_with_state(
             told = told & (rows[c] == seen[c])
         for v in values:
             told = told & (rows[v].isNull() | rows[v].eqNullSafe(seen[f"_seen_{v}"]))
-        return rows.join(seen, told, "left_anti").select(*rows.columns)
+        late_rows = rows.filter("is_late").join(seen, told, "left_anti").select(*rows.columns)
+        return rows.filter("NOT is_late").unionByName(late_rows)
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -117,7 +126,8 @@ def run_with_state(
             compact_state(spark, state_path, keys, batch_id, edge)
         state = read_state(spark, state_path, keys, batch_id)
         target = f"{path}/batch={batch_id}"
-        rows = step(batch, state)
+        newest = _marks(spark, state_path, batch_id).agg(F.max("high")).first()[0] if state is not None else None
+        rows = step(batch, state, newest)
         if batch_id:  # looked at for late rows, then written
             rows = rows.persist()
             new_late(rows, batch_id).write.mode("overwrite").partitionBy("is_late").parquet(target)
@@ -138,7 +148,7 @@ def run_with_state(
     )
 
 
-def _with_last(batch: DataFrame, state: DataFrame | None, keys: Sequence[str], ts: str, value_type: str,
+def _with_last(batch: DataFrame, state: DataFrame | None, newest: datetime | None, keys: Sequence[str], ts: str, value_type: str,
                horizon: str) -> DataFrame:
     """Add the last reading of the key and whether a row is behind it or behind the watermark.
 
@@ -150,10 +160,10 @@ def _with_last(batch: DataFrame, state: DataFrame | None, keys: Sequence[str], t
             "_last_value": F.lit(None).cast(value_type), "_last_time": F.lit(None).cast("timestamp"),
             "is_late": F.lit(False),
         })
-    newest = F.max("_last_time")
-    edge, gone = state.agg(newest - F.expr(f"INTERVAL {horizon}"), newest - F.expr(f"INTERVAL {horizon}") * 2).first()
-    state = state.filter(F.col("_last_time") >= F.lit(gone))  # keys silent for two horizons are forgotten
-    behind = (F.col(ts) <= F.col("_last_time")) | (F.col(ts) < F.lit(edge))
+    newest = F.lit(newest).cast("timestamp")
+    edge, gone = newest - F.expr(f"INTERVAL {horizon}"), newest - F.expr(f"INTERVAL {horizon}") * 2
+    state = state.filter(F.col("_last_time") >= gone)  # keys silent for two horizons are forgotten
+    behind = (F.col(ts) <= F.col("_last_time")) | (F.col(ts) < edge)
     return batch.join(state, list(keys), "left").withColumn("is_late", F.coalesce(behind, F.lit(False)))
 
 
@@ -178,12 +188,15 @@ def incremental_counter_delta(
     value_type = stream.schema[counter].dataType.simpleString()
     order = list(tie_break) or [(counter, "asc")]
 
-    def step(batch: DataFrame, state: DataFrame | None) -> DataFrame:
-        rows = _with_last(batch.filter(F.col(ts).isNotNull()), state, keys, ts, value_type, horizon)
+    def step(batch: DataFrame, state: DataFrame | None, newest: datetime | None) -> DataFrame:
+        batch = batch.filter(F.col(ts).isNotNull())
+        hot = bool(batch.groupBy(*keys).count().filter(F.col("count") > HOT_ROWS).take(1))
+        # Without a hot key, rows are dealt out once, by key: for the join to the state as for their order.
+        rows = _with_last(batch if hot else batch.repartition(*keys), state, newest, keys, ts, value_type, horizon)
         # Late rows take part as keys of their own, so that the batch is read only once.
         marked = counter_delta(
             rows, [*keys, "is_late"], ts, counter, out, tie_break=order, max_gap_seconds=max_gap_seconds,
-            seed=("_last_value", "_last_time"), slice_seconds=3600,  # a micro-batch is read once
+            seed=("_last_value", "_last_time"), **({"slice_seconds": 3600} if hot else {"slices": 1}),
         )
         return marked.withColumn(out, F.when(~F.col("is_late"), F.col(out))).drop("_last_value", "_last_time")
 
@@ -209,8 +222,8 @@ def incremental_pivot(
 ) -> None:
     """Wide rows of what is new; rows for times already given out are stored as late."""
 
-    def step(batch: DataFrame, state: DataFrame | None) -> DataFrame:
-        rows = _with_last(batch.filter(F.col(ts).isNotNull()), state, keys, ts, "double", horizon)
+    def step(batch: DataFrame, state: DataFrame | None, newest: datetime | None) -> DataFrame:
+        rows = _with_last(batch.filter(F.col(ts).isNotNull()), state, newest, keys, ts, "double", horizon)
         return pivot_categories(rows, [*keys, ts, "is_late"], category, value, mapping, order, drift)
 
     def changes(accepted: DataFrame, state: DataFrame | None) -> DataFrame:
