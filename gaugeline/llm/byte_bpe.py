@@ -187,18 +187,25 @@ class Encoder:
     def __init__(self, tokenizer: Tokenizer, kind: str = "<u4"):
         tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.tokenizer, self.kind, self.pieces = tokenizer, kind, Pieces(kind)
+        vocabulary = tokenizer.get_vocab()
+        self.size = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # bytes of each id: a character of a token stands for one
+        self.size[list(vocabulary.values())] = list(map(len, vocabulary))
 
     def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray) -> None:
         white, pieces = white_space(data), self.pieces
         joined = white[start] & ~white[end - 1]  # such pieces, put one after the other, stay pieces
-        for at in range(0, int(joined.sum()), 50_000):
-            which = np.flatnonzero(joined)[at: at + 50_000]
-            texts = [bytes(data[a:b]).decode() for a, b in zip(start[which], end[which])]
-            found = self.tokenizer.encode("".join(texts), add_special_tokens=False)
-            edges = np.cumsum([0, *map(len, texts)])
-            first = np.searchsorted(np.array([a for a, _ in found.offsets]), edges)
+        together = np.flatnonzero(joined)
+        for at in range(0, len(together), 50_000):
+            which = together[at: at + 50_000]
             length = (end - start)[which]
-            pieces.add(key[which], length, pieces.keep(np.array(found.ids)) + first[:-1], np.diff(first), pieces.keep_texts(data, start[which], length))
+            ids = np.array(self.tokenizer.encode_batch_fast([gather(data, start[which], length).tobytes().decode()], add_special_tokens=False)[0].ids, np.int64)
+            ends, edges = np.cumsum(self.size[ids]), np.cumsum(length)
+            last = np.searchsorted(ends, edges)  # the id that a piece ends with
+            if len(ids) == 0 or ends[-1] != edges[-1] or (ends[last] != edges).any():
+                joined[which] = False  # a vocabulary that is not of bytes alone
+                continue
+            count = np.diff(last, prepend=-1)
+            pieces.add(key[which], length, pieces.keep(ids) + last + 1 - count, count, pieces.keep_texts(data, start[which], length))
         which = np.flatnonzero(~joined)
         if len(which):
             at, count = self._straight(data, start[which], end[which])
