@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,24 +56,25 @@ def _quantile_slice(df: DataFrame, ts: str, slices: int) -> Column:
     return (group * (width + 1) + inner).cast("bigint")
 
 
-def _slices(df: DataFrame, keys: Sequence[str], ts: str, seconds: int | None, slices: int | None = None) -> DataFrame:
+def _slices(df: DataFrame, keys: Sequence[str], ts: str, seconds: int | None, slices: int | None = None, whole: bool = False) -> DataFrame:
     """Rows dealt out once by key and time slice; rows without a time are a slice of their own."""
-    if seconds is None and slices == 1:  # a key is a slice, and the windows ask for rows by key themselves
-        return df.withColumn("_slice", F.lit(0).cast("bigint"))
     if seconds is None:
         cut = _quantile_slice(df, ts, slices or min(1024, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     else:
         cut = F.floor(F.unix_timestamp(ts) / seconds)
+    if whole:  # a key is a slice, and the windows ask for rows by key themselves; a missing key is no key, and its slices do not meet
+        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        return df.withColumn("_slice", F.when(missing & F.col(ts).isNotNull(), cut).otherwise(F.lit(0)).cast("bigint"))
     return df.withColumn("_slice", F.when(F.col(ts).isNotNull(), cut).otherwise(F.lit(-(1 << 62)))).repartition(*keys, "_slice")
 
 
-def _lag_in_slices(sliced: DataFrame, keys: Sequence[str], ts: str, cols: dict[str, str], known: Column | None, one: bool = False) -> DataFrame:
+def _lag_in_slices(sliced: DataFrame, keys: Sequence[str], ts: str, cols: dict[str, str], known: Column | None, whole: bool = False) -> DataFrame:
     timed = F.col(ts).isNotNull()
     counts = timed if known is None else timed & known
     before = Window.partitionBy(*keys, "_slice").orderBy(F.col(ts).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     values = F.struct(*(F.col(src).alias(out) for src, out in cols.items()))
     rows = sliced.withColumn("_here", F.last(F.when(counts, values), ignorenulls=True).over(before))
-    if one:
+    if whole:
         previous = F.when(counts, F.col("_here"))
         return rows.withColumns({out: previous[out] for out in cols.values()}).drop("_here", "_slice")
     # The last row of each slice, at most one per slice however dense the readings are. It is taken whole, with copies of
@@ -96,6 +98,7 @@ def lag_columns(
     slice_seconds: int | None = None,
     known: Column | None = None,
     slices: int | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Add for each ``cols`` entry the value of the previous row of the same key.
 
@@ -103,13 +106,12 @@ def lag_columns(
     slices, whatever its size: rows are dealt out once, by key and slice, and compared inside their
     slice; only the last row of each slice goes on to the next one, by a join. Slices are ``slices`` quantiles of all times (by
     default four a shuffle partition), so none holds more than its share of the rows; finding them takes a pass over the
-    times. ``slice_seconds`` cuts by the clock instead, without that pass; with ``slices=1`` keys stay whole, for rows of which no key
-    has too many for a task. ``(keys, ts)`` must be
+    times. ``slice_seconds`` cuts by the clock instead, without that pass; with ``whole`` keys stay
+    whole, for rows of which no key has too many for a task. ``(keys, ts)`` must be
     unique and keys not null. Rows without a time, and rows that are not ``known``, get NULL and
     are no one's predecessor.
     """
-    one = slice_seconds is None and slices == 1
-    return _lag_in_slices(_slices(df, keys, ts, slice_seconds, slices), keys, ts, cols, known, one)
+    return _lag_in_slices(_slices(df, keys, ts, slice_seconds, slices, whole), keys, ts, cols, known, whole)
 
 
 def counter_delta(
@@ -124,6 +126,7 @@ def counter_delta(
     slice_seconds: int | None = None,
     seed: tuple[str, str] | None = None,
     slices: int | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Interval value of a cumulative counter: the rise since the previous reading.
 
@@ -134,11 +137,11 @@ def counter_delta(
     ``seed`` names two columns (value, time) with the reading before the first row of the key, for
     data that continues an earlier run. A reading without a time has no interval and changes no other.
     """
-    rows = _slices(df, keys, ts, slice_seconds, slices)
+    rows = _slices(df, keys, ts, slice_seconds, slices, whole)
     if tie_break:
         rows = latest_per_snapshot(rows, [*keys, "_slice", ts], tie_break)
     known = F.col(counter).isNotNull() if carry_over_nulls else None
-    rows = _lag_in_slices(rows, keys, ts, {counter: "_prev", ts: "_prev_ts"}, known, slice_seconds is None and slices == 1)
+    rows = _lag_in_slices(rows, keys, ts, {counter: "_prev", ts: "_prev_ts"}, known, whole)
     before, since = F.col("_prev"), F.col("_prev_ts")
     if seed:
         before = F.when(since.isNull(), F.col(seed[0])).otherwise(before)

@@ -196,7 +196,7 @@ def incremental_counter_delta(
         # Late rows take part as keys of their own, so that the batch is read only once.
         marked = counter_delta(
             rows, [*keys, "is_late"], ts, counter, out, tie_break=order, max_gap_seconds=max_gap_seconds,
-            seed=("_last_value", "_last_time"), **({"slice_seconds": 3600} if hot else {"slices": 1}),
+            seed=("_last_value", "_last_time"), slice_seconds=3600, whole=not hot,
         )
         return marked.withColumn(out, F.when(~F.col("is_late"), F.col(out))).drop("_last_value", "_last_time")
 

@@ -17,10 +17,10 @@ def frame(spark, data):
 
 
 def test_whole_keys_are_compared_without_a_join(spark, rows):
-    data = [(k, 3600.0 * i if i % 5 else None, float(i)) for k in "ab" for i in range(1, 12)]
+    data = [(k, 3600.0 * i if i % 5 else None, float(i)) for k in ("a", "b", None) for i in range(1, 12)]
     df = frame(spark, data)
     for known in (None, F.col("v") % 3 != 0):
-        one = lag_columns(df, ["key"], "ts", {"v": "pv"}, slices=1, known=known)
+        one = lag_columns(df, ["key"], "ts", {"v": "pv"}, slice_seconds=7200, known=known, whole=True)
         assert "Join" not in one._jdf.queryExecution().executedPlan().toString()
         assert rows(one) == rows(lag_columns(df, ["key"], "ts", {"v": "pv"}, slice_seconds=7200, known=known))
 
